@@ -1,0 +1,167 @@
+"""Synthetic ticks: a clamped random walk per symbol.
+
+Each step is drawn from a hash of (seed, symbol, n), so a lost task draws the
+same steps again. Prices are counted in 1/10,000 to stay exact.
+
+The walk ``x[n] = max(floor, x[n-1] + d[n])`` needs no loop: with the free walk
+``S[n] = start + d[1] + ... + d[n]`` it equals
+``S[n] + max(0, floor - min(S[1..n]))`` when ``start >= floor``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+# Price step within +-0.35, size 10 to 500, price floor 1.0.
+UNITS = 10_000
+MAX_STEP = 3_500
+MIN_SIZE, MAX_SIZE = 10, 500
+FLOOR = 1 * UNITS
+
+DEFAULT_COUNT = 20
+DEFAULT_START_PRICE = 180.0
+DEFAULT_INTERVAL_MS = 1_000
+BLOCK = 50_000
+
+
+def _draws(seed: int) -> tuple[Column, Column]:
+    """(step in units, size) of tick ``n`` of ``symbol``."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), "symbol", F.col("n").cast("string")))
+
+    def number(start: int) -> Column:
+        return F.conv(F.substring(digest, start, 7), 16, 10).cast("bigint")
+
+    step = number(1) % (2 * MAX_STEP + 1) - MAX_STEP
+    size = number(8) % (MAX_SIZE - MIN_SIZE + 1) + MIN_SIZE
+    return step, size
+
+
+def mock_ticks(
+    symbols: DataFrame,
+    count: int = DEFAULT_COUNT,
+    *,
+    start_ts_ms: int,
+    interval_ms: int = DEFAULT_INTERVAL_MS,
+    seed: int = 0,
+    block: int = BLOCK,
+) -> DataFrame:
+    """``count`` ticks for each row of ``symbols(symbol, start_price)``.
+
+    A long walk is cut into blocks of ``block`` ticks. Blocks are built in
+    parallel, then shifted by the running total of the blocks before them, so
+    one symbol with a billion ticks still spreads over the cluster.
+    """
+    if count <= 0:
+        raise ValueError("count must be positive; use mock_tick_stream to run without end")
+    step, size = _draws(seed)
+    start = F.round(F.col("start_price") * UNITS).cast("bigint")
+    last_block = (count - 1) // block
+    # Only block descriptors are shuffled; ticks are born in their partition.
+    blocks = symbols.select(
+        "symbol",
+        F.greatest(start, F.lit(FLOOR)).alias("start"),
+        F.explode(F.sequence(F.lit(0), F.lit(last_block))).alias("block"),
+    ).repartition("symbol", "block")
+    first_n = F.col("block").cast("bigint") * block
+    last_n = F.least(first_n + block, F.lit(count).cast("bigint")) - 1
+    in_block = Window.partitionBy("symbol", "block").orderBy("n")
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    walk = (
+        blocks.withColumn("n", F.explode(F.sequence(first_n, last_n)))
+        .select("symbol", "start", "block", "n", step.alias("step"), size.alias("size"))
+        .withColumn("sum", F.sum("step").over(so_far))
+        .withColumn("low", F.min("sum").over(so_far))
+    )
+    if last_block == 0:
+        walk = walk.withColumn("base", F.lit(0).cast("bigint"))
+        walk = walk.withColumn("base_low", F.lit(None).cast("bigint"))
+    else:
+        totals = walk.groupBy("symbol", "block").agg(
+            F.sum("step").alias("total"), F.min("low").alias("block_low")
+        )
+        earlier = Window.partitionBy("symbol").orderBy("block").rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        offsets = (
+            totals.withColumn("base", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
+            .withColumn("base_low", F.min(F.col("base") + F.col("block_low")).over(earlier))
+            .select("symbol", "block", "base", "base_low")
+        )
+        walk = walk.join(offsets, ["symbol", "block"])
+    free = F.col("start") + F.col("base") + F.col("sum")
+    lowest = F.col("start") + F.least(F.col("base_low"), F.col("base") + F.col("low"))
+    price = (free + F.greatest(F.lit(0), F.lit(FLOOR) - lowest)) / UNITS
+    return walk.select(
+        "symbol",
+        "n",
+        price.alias("price"),
+        "size",
+        (F.lit(start_ts_ms).cast("bigint") + F.col("n") * interval_ms).alias("event_ts_ms"),
+    )
+
+
+def mock_tick_stream(
+    spark: SparkSession,
+    symbols: list[str],
+    *,
+    start_price: float = DEFAULT_START_PRICE,
+    rows_per_second: int = 1,
+    seed: int = 0,
+) -> DataFrame:
+    """Ticks without end, ``rows_per_second`` for each symbol.
+
+    The state of a symbol is its last price; the walk inside a micro-batch is
+    the same closed form as in ``mock_ticks``.
+    """
+    ticks = (
+        spark.readStream.format("rate")
+        .option("rowsPerSecond", rows_per_second)
+        .load()
+        .select(
+            F.explode(F.array(*[F.lit(s) for s in symbols])).alias("symbol"),
+            F.col("value").alias("n"),
+            F.unix_millis("timestamp").alias("event_ts_ms"),
+        )
+    )
+    return walk_stream(ticks, start_price=start_price, seed=seed)
+
+
+def walk_stream(ticks: DataFrame, *, start_price: float, seed: int = 0) -> DataFrame:
+    """Prices and sizes for a stream of (symbol, n, event_ts_ms)."""
+    step, size = _draws(seed)
+    drawn = ticks.select(
+        "symbol", "n", "event_ts_ms", step.alias("step"), size.alias("size")
+    )
+    start, floor, units = max(round(start_price * UNITS), FLOOR), FLOOR, UNITS
+
+    def advance(key: tuple, frames: Iterator[Any], state: Any) -> Iterator[Any]:
+        import numpy as np
+        import pandas as pd
+
+        batch = pd.concat(list(frames)).sort_values("n")
+        price = state.get[0] if state.exists else start
+        free = price + batch["step"].cumsum()
+        low = np.minimum.accumulate(free.to_numpy())
+        units_now = free + np.maximum(0, floor - low)
+        state.update((int(units_now.iloc[-1]),))
+        yield pd.DataFrame(
+            {
+                "symbol": batch["symbol"],
+                "n": batch["n"],
+                "price": units_now / units,
+                "size": batch["size"],
+                "event_ts_ms": batch["event_ts_ms"],
+            }
+        )
+
+    return drawn.groupBy("symbol").applyInPandasWithState(
+        advance,
+        "symbol string, n bigint, price double, size bigint, event_ts_ms bigint",
+        "price_units bigint",
+        "append",
+        "NoTimeout",
+    )
