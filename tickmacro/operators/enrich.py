@@ -17,11 +17,13 @@ def enrich(
     series_id: str = DEFAULT_SERIES,
     *,
     proc_time: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Inner join on the series; no bar comes out before the series has a value.
 
     ``state`` is keyed by series, so the filtered side is one row: it is the
     only side ever broadcast, and bars are never shuffled onto a single key.
+    ``keep`` names further bar columns to carry along.
     """
     one_row = state.where(F.col("series_id") == series_id).select(
         "series_id", "macro_value", "release_ts_ms"
@@ -39,6 +41,7 @@ def enrich(
         "macro_value",
         "release_ts_ms",
         age_minutes("window_start", "release_ts_ms").alias("macro_age_minutes"),
+        *keep,
     ]
     if proc_time:
         columns.append(F.current_timestamp().alias("proc_time"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickmacro.functions.times import as_of_column
+from tickmacro.schemas import SERVING_BAR
 
 LATE_AFTER = "2 hours"
 METRICS = ["close_price_sum", "volume_proxy_sum", "tick_count_sum"]
@@ -43,3 +44,8 @@ def serving_bars(bars: DataFrame, *, rollup: bool = False) -> DataFrame:
 def with_segment(rows: DataFrame) -> DataFrame:
     """Add ``hour``, the partition a serving row is stored in."""
     return rows.withColumn("hour", F.date_format(F.date_trunc("hour", "time"), "yyyy-MM-dd-HH"))
+
+
+def read_serving(spark: SparkSession, path: str) -> DataFrame:
+    """Stored serving rows; a filter on ``hour`` prunes folders."""
+    return spark.read.schema(SERVING_BAR).parquet(path)

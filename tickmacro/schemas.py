@@ -2,51 +2,111 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
-_ENVELOPE = (
-    "event_id string, source string, entity_key string, event_ts_ms bigint, "
-    "ingest_ts_ms bigint, schema_version string, payload struct<{payload}>"
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
 )
 
-TICK_EVENT = StructType.fromDDL(
-    _ENVELOPE.format(payload="symbol: string, price: double, size: bigint")
-)
-RELEASE_EVENT = StructType.fromDDL(
-    _ENVELOPE.format(
-        payload="series_id: string, observation_date: string, value: double, "
-        "release_ts_ms: bigint, realtime_start: string, realtime_end: string"
+STRING, LONG, DOUBLE = StringType(), LongType(), DoubleType()
+DATE, INSTANT = DateType(), TimestampType()
+
+
+def _struct(**fields: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
+
+
+def _event(payload: StructType) -> StructType:
+    return _struct(
+        event_id=STRING,
+        source=STRING,
+        entity_key=STRING,
+        event_ts_ms=LONG,
+        ingest_ts_ms=LONG,
+        schema_version=STRING,
+        payload=payload,
+    )
+
+
+TICK_EVENT = _event(_struct(symbol=STRING, price=DOUBLE, size=LONG))
+RELEASE_EVENT = _event(
+    _struct(
+        series_id=STRING,
+        observation_date=STRING,
+        value=DOUBLE,
+        release_ts_ms=LONG,
+        realtime_start=STRING,
+        realtime_end=STRING,
     )
 )
 
-BAR = StructType.fromDDL(
-    "symbol string, window_start timestamp, window_end timestamp, open_price double, "
-    "high_price double, low_price double, close_price double, volume bigint, tick_count bigint"
+BAR = _struct(
+    symbol=STRING,
+    window_start=INSTANT,
+    window_end=INSTANT,
+    open_price=DOUBLE,
+    high_price=DOUBLE,
+    low_price=DOUBLE,
+    close_price=DOUBLE,
+    volume=LONG,
+    tick_count=LONG,
 )
-MACRO_STATE = StructType.fromDDL("series_id string, macro_value double, release_ts_ms bigint")
-ENRICHED = StructType.fromDDL(
-    "symbol string, window_start timestamp, close_price double, volume bigint, "
-    "tick_count bigint, series_id string, macro_value double, release_ts_ms bigint, "
-    "macro_age_minutes bigint"
+MACRO_STATE = _struct(series_id=STRING, macro_value=DOUBLE, release_ts_ms=LONG)
+ENRICHED = _struct(
+    symbol=STRING,
+    window_start=INSTANT,
+    close_price=DOUBLE,
+    volume=LONG,
+    tick_count=LONG,
+    series_id=STRING,
+    macro_value=DOUBLE,
+    release_ts_ms=LONG,
+    macro_age_minutes=LONG,
 )
-SILVER_BAR = StructType.fromDDL(
-    "dt date, bucket_1m_utc timestamp, symbol string, open_price double, high_price double, "
-    "low_price double, close_price double, volume bigint, tick_count bigint"
+SILVER_BAR = _struct(
+    dt=DATE,
+    bucket_1m_utc=INSTANT,
+    symbol=STRING,
+    open_price=DOUBLE,
+    high_price=DOUBLE,
+    low_price=DOUBLE,
+    close_price=DOUBLE,
+    volume=LONG,
+    tick_count=LONG,
 )
-SILVER_RELEASE = StructType.fromDDL(
-    "dt date, series_id string, observation_date date, macro_value double, "
-    "release_ts_utc timestamp, realtime_start date, realtime_end date"
+SILVER_RELEASE = _struct(
+    dt=DATE,
+    series_id=STRING,
+    observation_date=DATE,
+    macro_value=DOUBLE,
+    release_ts_utc=INSTANT,
+    realtime_start=DATE,
+    realtime_end=DATE,
 )
-ALIGNED_DAILY = StructType.fromDDL(
-    "symbol string, close_price double, volume bigint, tick_count bigint, macro_value double, "
-    "macro_release_ts_utc timestamp, dt date"
+ALIGNED_DAILY = _struct(
+    symbol=STRING,
+    close_price=DOUBLE,
+    volume=LONG,
+    tick_count=LONG,
+    macro_value=DOUBLE,
+    macro_release_ts_utc=INSTANT,
+    dt=DATE,
 )
-CORRELATION_DAILY = StructType.fromDDL("symbol string, rolling_corr_30d double, dt date")
-SERVING_BAR = StructType.fromDDL(
-    "time timestamp, symbol string, close_price_sum double, volume_proxy_sum bigint, "
-    "tick_count_sum bigint"
+CORRELATION_DAILY = _struct(symbol=STRING, rolling_corr_30d=DOUBLE, dt=DATE)
+SERVING_BAR = _struct(
+    time=INSTANT,
+    symbol=STRING,
+    close_price_sum=DOUBLE,
+    volume_proxy_sum=LONG,
+    tick_count_sum=LONG,
+    hour=STRING,
 )
-ROUTED_EVENT = StructType.fromDDL("key string, value string, topic string")
+ROUTED_EVENT = _struct(key=STRING, value=STRING, topic=STRING)
 
 # Topic names and their retention in days (None: compacted, kept).
 TICK_TOPIC = "raw.market.finnhub.tick.v1"
