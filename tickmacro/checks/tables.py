@@ -23,9 +23,12 @@ ORDER_SERIES = "N"
 def read_table(
     spark: SparkSession, sf_dir: str, name: str, *, streaming: bool = False
 ) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    table = use_utc(spark).read.parquet(path)
-    return spark.readStream.schema(table.schema).parquet(path) if streaming else table
+    table = use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    if not streaming:
+        return table
+    # A file stream takes a folder or a pattern; this pattern names the table,
+    # be it one file or a folder of files.
+    return spark.readStream.schema(table.schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def arrival() -> Column:
