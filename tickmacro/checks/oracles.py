@@ -294,4 +294,5 @@ SELECT * EXCLUDE (window_start) FROM serving
 WHERE window_start + INTERVAL 1 MINUTE
       <= (SELECT max(event_time) FROM ticks) - INTERVAL 10 SECOND""",
 }
+ORACLES["monitor_recent_bars_stored"] = ORACLES["monitor_recent_bars"]
 ORACLES["dead_letter_split_stream"] = ORACLES["dead_letter_split"]

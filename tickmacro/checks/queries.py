@@ -265,6 +265,14 @@ def monitor_recent_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.as_ntz(reports.recent_bars(_silver_bars(spark, sf_dir)))
 
 
+def monitor_recent_bars_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over a stored table, reading only its newest days."""
+    path = new_dir(spark, "silver")
+    _silver_bars(spark, sf_dir).hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+    stored = table_sources.silver_bars(spark, path)
+    return t.as_ntz(reports.recent_bars(stored, by_day=True))
+
+
 def monitor_close_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _silver_bars(spark, sf_dir)
     newest = _ticks(spark, sf_dir).agg(F.date_trunc("minute", F.max("event_time"))).scalar()
@@ -425,6 +433,7 @@ QUERIES: dict[str, Query] = {
         avg_corr_by_symbol,
         table_row_counts,
         monitor_recent_bars,
+        monitor_recent_bars_stored,
         monitor_close_timeseries,
         serving_bar_minute,
         serving_bar_rollup,

@@ -59,7 +59,8 @@ def align_daily(
     calendar when its size allows and otherwise sorts and merges.
     """
     calendar = asof_calendar(releases, series_id)
-    last_day = calendar.agg(F.max("asof_dt")).scalar()
+    known = releases.where(F.col("series_id") == series_id)
+    last_day = known.agg(F.to_date(F.max("release_ts_utc"))).scalar()
     return (
         daily.withColumn("asof_dt", F.least("dt", last_day))
         .join(calendar, "asof_dt", "left")

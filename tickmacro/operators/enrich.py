@@ -21,15 +21,17 @@ def enrich(
 ) -> DataFrame:
     """Inner join on the series; no bar comes out before the series has a value.
 
-    ``state`` is keyed by series, so the filtered side is one row: it is the
-    only side ever broadcast, and bars are never shuffled onto a single key.
-    ``keep`` names further bar columns to carry along.
+    ``state`` is keyed by series, so the wanted value is one row. It is looked
+    up once as a scalar: bars are not shuffled for it, and a second row for the
+    series is an error rather than a copy of every bar. ``keep`` names further
+    bar columns to carry along.
     """
-    one_row = state.where(F.col("series_id") == series_id).select(
-        "series_id", "macro_value", "release_ts_ms"
-    )
-    joined = bars.withColumn("series_id", F.lit(series_id)).join(
-        F.broadcast(one_row), "series_id"
+    value = F.struct("series_id", "macro_value", "release_ts_ms")
+    current = state.where(F.col("series_id") == series_id).select(value).scalar()
+    joined = (
+        bars.withColumn("state", current)
+        .where(F.col("state").isNotNull())
+        .select(*[c for c in bars.columns if c != "series_id"], "state.*")
     )
     columns = [
         "symbol",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickmacro.functions.times import as_of_column
@@ -34,8 +34,15 @@ def avg_corr_by_symbol(correlation: DataFrame) -> DataFrame:
     )
 
 
-def recent_bars(bars: DataFrame, rows: int = 50) -> DataFrame:
-    """The newest silver bars of all symbols."""
+def recent_bars(bars: DataFrame, rows: int = 50, *, by_day: bool = False) -> DataFrame:
+    """The newest silver bars of all symbols.
+
+    ``by_day`` is for a table partitioned by ``dt``: rows are first counted per
+    day, which reads file footers only, and then just the newest days that hold
+    ``rows`` bars are scanned.
+    """
+    if by_day:
+        bars = bars.where(F.col("dt") >= _first_day_of_newest(bars, rows))
     return (
         bars.select(*RECENT_BAR_COLUMNS)
         .orderBy(F.col("bucket_1m_utc").desc(), "symbol")
@@ -43,6 +50,17 @@ def recent_bars(bars: DataFrame, rows: int = 50) -> DataFrame:
     )
 
 
+def _first_day_of_newest(bars: DataFrame, rows: int) -> Column:
+    """The latest day such that it and the days after it hold ``rows`` bars."""
+    # One row per stored day, so the unpartitioned window is small.
+    newer = Window.orderBy(F.col("dt").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    days = bars.groupBy("dt").agg(F.count(F.lit(1)).alias("bars"))
+    needed = days.withColumn("newer", F.coalesce(F.sum("bars").over(newer), F.lit(0))).where(
+        F.col("newer") < rows
+    )
+    return needed.agg(F.min("dt")).scalar()
+
+
 def close_timeseries(
     bars: DataFrame,
     hours: int = 1,

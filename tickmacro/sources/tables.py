@@ -8,21 +8,31 @@ from pyspark.sql.types import StructType
 from tickmacro.schemas import BAR, SILVER_BAR, SILVER_RELEASE
 
 
-def read_bars(spark: SparkSession, path: str, *, streaming: bool = False) -> DataFrame:
-    """The bar table, also as a stream that follows its writer."""
-    return _read(spark, path, BAR, streaming)
+def read_bars(spark: SparkSession, path: str, **stream) -> DataFrame:
+    """The bar table. ``streaming=True`` follows its writer; ``max_files`` then
+    bounds how many new files one micro-batch takes."""
+    return _read(spark, path, BAR, **stream)
 
 
-def silver_bars(spark: SparkSession, path: str, *, streaming: bool = False) -> DataFrame:
-    return _read(spark, path, SILVER_BAR, streaming)
+def silver_bars(spark: SparkSession, path: str, **stream) -> DataFrame:
+    return _read(spark, path, SILVER_BAR, **stream)
 
 
-def silver_releases(spark: SparkSession, path: str, *, streaming: bool = False) -> DataFrame:
-    return _read(spark, path, SILVER_RELEASE, streaming)
+def silver_releases(spark: SparkSession, path: str, **stream) -> DataFrame:
+    return _read(spark, path, SILVER_RELEASE, **stream)
 
 
-def _read(spark: SparkSession, path: str, schema: StructType, streaming: bool) -> DataFrame:
+def _read(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    *,
+    streaming: bool = False,
+    max_files: int | None = None,
+) -> DataFrame:
     reader = spark.readStream if streaming else spark.read
+    if streaming and max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     # A partition column comes last from the scan; the declared order is restored.
     return reader.schema(schema).parquet(path).select(*schema.fieldNames())
 
