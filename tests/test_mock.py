@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.builders import Drop
+from tickmacro.sources.mock import UNITS, _draws, mock_ticks, walk_stream
+
+
+def _loop(spark, symbol, start, count, seed):
+    """The walk one step at a time."""
+    step, size = _draws(seed)
+    drawn = (
+        spark.range(count)
+        .select(F.lit(symbol).alias("symbol"), F.col("id").alias("n"))
+        .select(step.alias("step"), size.alias("size"), "n")
+        .orderBy("n")
+        .collect()
+    )
+    price, out = round(start * UNITS), []
+    for row in drawn:
+        price = max(UNITS, price + row["step"])
+        out.append((row["n"], price / UNITS, row["size"]))
+    return out
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    start=st.sampled_from([1.0, 1.2, 180.0]),
+    count=st.integers(1, 300),
+    block=st.sampled_from([7, 64, 1000]),
+    seed=st.integers(0, 5),
+)
+def test_walk_equals_the_loop(spark, start, count, block, seed):
+    symbols = spark.createDataFrame([("A", start), ("B", start)], "symbol string, start_price double")
+    got = mock_ticks(symbols, count, start_ts_ms=5_000, seed=seed, block=block).collect()
+    for symbol in "AB":
+        rows = sorted((r["n"], r["price"], r["size"]) for r in got if r["symbol"] == symbol)
+        assert rows == _loop(spark, symbol, start, count, seed)
+    assert {r["event_ts_ms"] - r["n"] * 1000 for r in got} == {5_000}
+
+
+def test_walk_stays_in_its_bounds(spark):
+    symbols = spark.createDataFrame([("A", 1.0)], "symbol string, start_price double")
+    rows = mock_ticks(symbols, 5000, start_ts_ms=0, block=1000)
+    low, small, large = rows.agg(F.min("price"), F.min("size"), F.max("size")).first()
+    assert low == 1.0 and small >= 10 and large <= 500
+
+
+def test_count_must_be_positive(spark):
+    symbols = spark.createDataFrame([("A", 1.0)], "symbol string, start_price double")
+    with pytest.raises(ValueError):
+        mock_ticks(symbols, 0, start_ts_ms=0)
+
+
+def test_streamed_walk_carries_its_price_over_batches(spark, tmp_path):
+    drop = Drop(tmp_path / "in")
+    for first in (0, 40, 80):
+        drop.add([str(n) for n in range(first, first + 40)])
+    ticks = drop.stream(spark).select(
+        F.explode(F.array(F.lit("A"), F.lit("B"))).alias("symbol"),
+        F.col("value").cast("bigint").alias("n"),
+        F.lit(0).cast("bigint").alias("event_ts_ms"),
+    )
+    out = str(tmp_path / "out")
+    walk_stream(ticks, start_price=1.1, seed=3).writeStream.format("parquet").option(
+        "checkpointLocation", str(tmp_path / "run")
+    ).trigger(availableNow=True).start(out).awaitTermination()
+    got = spark.read.parquet(out).collect()
+    for symbol in "AB":
+        rows = sorted((r["n"], r["price"], r["size"]) for r in got if r["symbol"] == symbol)
+        assert rows == _loop(spark, symbol, 1.1, 120, 3)
