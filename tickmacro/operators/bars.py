@@ -17,16 +17,18 @@ def build_bars(
     Both aggregate before the shuffle, so a symbol with most of the ticks costs
     one row per window and task.
     """
-    price, window = F.col("payload.price"), F.window("event_time", interval)
+    price, ids = F.col("price"), ["event_id"] if ohlc == "event_time" else []
     open_price, close_price = _open_close(price, ohlc)
+    # Flat first: a payload kept whole would keep all columns behind it.
+    flat = ticks.select("payload.symbol", "payload.price", "payload.size", "event_time", *ids)
     return (
-        ticks.groupBy(F.col("payload.symbol").alias("symbol"), window.alias("bar"))
+        flat.groupBy("symbol", F.window("event_time", interval).alias("bar"))
         .agg(
             open_price.alias("open_price"),
             F.max(price).alias("high_price"),
             F.min(price).alias("low_price"),
             close_price.alias("close_price"),
-            F.sum("payload.size").alias("volume"),
+            F.sum("size").alias("volume"),
             F.count(F.lit(1)).alias("tick_count"),
         )
         .select(

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickmacro.functions.times import instant, text_date
+from tickmacro.schemas import RELEASE_EVENT
+
+_PAYLOAD = RELEASE_EVENT["payload"].dataType.fieldNames()
 
 
 def silver_bars(bars: DataFrame) -> DataFrame:
@@ -24,13 +27,13 @@ def silver_bars(bars: DataFrame) -> DataFrame:
 
 def silver_releases(releases: DataFrame) -> DataFrame:
     """Every copy of a release is kept; ``dt`` is its release day."""
-    released = instant("payload.release_ts_ms")
-    return releases.select(
-        F.to_date(released).alias("dt"),
-        F.col("payload.series_id").alias("series_id"),
-        text_date("payload.observation_date").alias("observation_date"),
-        F.col("payload.value").alias("macro_value"),
-        released.alias("release_ts_utc"),
-        text_date("payload.realtime_start").alias("realtime_start"),
-        text_date("payload.realtime_end").alias("realtime_end"),
+    flat = releases.select(*[f"payload.{name}" for name in _PAYLOAD])
+    return flat.withColumn("release_ts_utc", instant("release_ts_ms")).select(
+        F.to_date("release_ts_utc").alias("dt"),
+        "series_id",
+        text_date("observation_date").alias("observation_date"),
+        F.col("value").alias("macro_value"),
+        "release_ts_utc",
+        text_date("realtime_start").alias("realtime_start"),
+        text_date("realtime_end").alias("realtime_end"),
     )
