@@ -14,6 +14,17 @@ from tickmacro.functions.times import instant
 from tickmacro.schemas import RELEASE_TOPIC, TICK_TOPIC
 from tickmacro.session import use_utc
 
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+}
 TICK_TYPES = ["click", "view", "purchase"]
 RELEASE_TYPES = ["signup", "error"]
 EVENT_SERIES = "error"
@@ -23,12 +34,12 @@ ORDER_SERIES = "N"
 def read_table(
     spark: SparkSession, sf_dir: str, name: str, *, streaming: bool = False
 ) -> DataFrame:
-    table = use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    schema = SCHEMAS[name]
     if not streaming:
-        return table
+        return use_utc(spark).read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
     # A file stream takes a folder or a pattern; this pattern names the table,
     # be it one file or a folder of files.
-    return spark.readStream.schema(table.schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    return use_utc(spark).readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def arrival() -> Column:

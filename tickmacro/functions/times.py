@@ -17,8 +17,11 @@ def instant(epoch_ms: Column | str) -> Column:
 
 
 def text_date(text: Column | str) -> Column:
-    """``YYYY-MM-DD`` text to a date; other text is an error under ANSI."""
-    return F.to_date(text, "yyyy-MM-dd")
+    """``YYYY-MM-DD`` text to a date; other text is an error under ANSI.
+
+    A cast reads such text several times faster than a pattern does.
+    """
+    return (F.col(text) if isinstance(text, str) else text).cast("date")
 
 
 def midnight_ms(text: Column | str) -> Column:

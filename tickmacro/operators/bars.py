@@ -21,27 +21,32 @@ def build_bars(
     open_price, close_price = _open_close(price, ohlc)
     # Flat first: a payload kept whole would keep all columns behind it.
     flat = ticks.select("payload.symbol", "payload.price", "payload.size", "event_time", *ids)
-    return (
-        flat.groupBy("symbol", F.window("event_time", interval).alias("bar"))
-        .agg(
-            open_price.alias("open_price"),
-            F.max(price).alias("high_price"),
-            F.min(price).alias("low_price"),
-            close_price.alias("close_price"),
-            F.sum("size").alias("volume"),
-            F.count(F.lit(1)).alias("tick_count"),
-        )
-        .select(
-            "symbol",
-            F.col("bar.start").alias("window_start"),
-            F.col("bar.end").alias("window_end"),
-            "open_price",
-            "high_price",
-            "low_price",
-            "close_price",
-            "volume",
-            "tick_count",
-        )
+    window = F.window("event_time", interval)
+    if ticks.isStreaming:
+        # The watermark closes bars by the window as a whole.
+        grouped = flat.groupBy("symbol", window.alias("bar"))
+        start, end = F.col("bar.start"), F.col("bar.end")
+    else:
+        # The start alone tells windows apart, in a smaller key.
+        grouped = flat.groupBy("symbol", window["start"].alias("bar"))
+        start, end = F.col("bar"), F.col("bar") + F.expr(f"INTERVAL {interval}")
+    return grouped.agg(
+        open_price.alias("open_price"),
+        F.max(price).alias("high_price"),
+        F.min(price).alias("low_price"),
+        close_price.alias("close_price"),
+        F.sum("size").alias("volume"),
+        F.count(F.lit(1)).alias("tick_count"),
+    ).select(
+        "symbol",
+        start.alias("window_start"),
+        end.alias("window_end"),
+        "open_price",
+        "high_price",
+        "low_price",
+        "close_price",
+        "volume",
+        "tick_count",
     )
 
 

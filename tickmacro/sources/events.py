@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -83,24 +83,22 @@ def decode_releases(
     return _decode(raw, RELEASE_EVENT, mode, keep).withWatermark("event_time", lateness)
 
 
-def is_malformed(value: Column, schema: StructType) -> Column:
-    """True for text that is not JSON of this schema (syntax or type)."""
-    probe = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
-    event = F.from_json(
-        value, probe, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
-    return event.isNull() | event[_CORRUPT].isNotNull()
-
-
 def route_dead_letters(
     raw: DataFrame, schema: StructType, *, topic: str, dead_topic: str
 ) -> DataFrame:
-    """Set ``topic`` per row: malformed events go to ``dead_topic``, unchanged.
+    """Set ``topic`` per row: text that is not JSON of this schema (by syntax
+    or by type) goes to ``dead_topic``, unchanged.
 
     A Kafka sink routes by that column; a file sink partitions by it.
     """
-    malformed = is_malformed(F.col("value"), schema)
-    return raw.withColumn("topic", F.when(malformed, dead_topic).otherwise(topic))
+    probe = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
+    event = F.from_json(
+        "value", probe, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    )
+    # A column of its own, so that each text is parsed once.
+    parsed = raw.withColumn("_event", event)
+    malformed = F.col("_event").isNull() | F.col(f"_event.{_CORRUPT}").isNotNull()
+    return parsed.withColumn("topic", F.when(malformed, dead_topic).otherwise(topic)).drop("_event")
 
 
 def drop_resent(events: DataFrame, keys: list[str], *, lateness: str | None = None) -> DataFrame:
