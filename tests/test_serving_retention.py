@@ -9,7 +9,7 @@ from tests.builders import bars
 from tests.conftest import utc
 from tickmacro.operators import retention, serving
 from tickmacro.plans import reports
-from tickmacro.schemas import RETENTION_DAYS, SILVER_BAR, STATE_TOPIC, TICK_TOPIC
+from tickmacro.schemas import BAR_TOPIC, RETENTION_DAYS, SILVER_BAR, STATE_TOPIC, TICK_TOPIC
 
 NOW = utc("2024-03-31 12:00")
 
@@ -67,6 +67,11 @@ def test_expired_day_partitions_are_dropped(spark):
     kept = retention.keep_recent_days(left, 30, NOW.date())
     assert kept.count() == 3
     assert retention.drop_expired_partitions(spark, "retention_test.bars", 30, NOW.date()) == []
+    later = NOW.date() + timedelta(days=1)
+    topics = {BAR_TOPIC: "retention_test.bars", STATE_TOPIC: "retention_test.none"}
+    assert retention.apply_topic_retention(spark, topics, later) == {
+        "retention_test.bars": [(NOW.date() - timedelta(days=30)).isoformat()]
+    }
     spark.sql("DROP DATABASE retention_test CASCADE")
 
 

@@ -6,9 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.builders import encode, tick_rows
-from tickmacro.functions.envelopes import encode_events, macro_envelope, market_envelope
+from tickmacro.functions.envelopes import (
+    dry_run_lines,
+    encode_events,
+    macro_envelope,
+    market_envelope,
+)
 from tickmacro.schemas import RELEASE_EVENT, TICK_EVENT
 from tickmacro.sources import events, responses
+from tickmacro.streaming import jobs
 
 
 def test_market_envelope_has_the_declared_fields(spark):
@@ -48,6 +54,25 @@ def test_macro_envelope_event_time_is_the_release_time(spark):
     assert event["payload"]["series_id"] == "DFF" and event["payload"]["value"] == 4.5
 
 
+def test_a_sent_batch_is_read_back_per_topic(spark, tmp_path):
+    envelope = market_envelope(
+        "s", symbol=F.lit("A"), price=F.lit(1.0), size=F.lit(1), event_ts_ms=F.col("id")
+    )
+    sent = encode_events(spark.range(3), envelope, "ticks")
+    jobs.send_events(sent, "json", str(tmp_path / "out"))
+    back = spark.read.json(str(tmp_path / "out")).where("topic = 'ticks' and key = 'A'")
+    assert events.decode_ticks(back).agg(F.sum("event_ts_ms")).first()[0] == 3
+    jobs.send_events(sent, "console")
+
+
+def test_a_dry_run_shows_topic_key_and_event(spark):
+    envelope = market_envelope(
+        "s", symbol=F.lit("A"), price=F.lit(1.0), size=F.lit(1), event_ts_ms=F.lit(5)
+    )
+    line = json.loads(dry_run_lines(spark.range(1), envelope, "ticks").first()["value"])
+    assert (line["topic"], line["key"], line["event"]["event_ts_ms"]) == ("ticks", "A", 5)
+
+
 def test_event_ids_differ(spark):
     envelope = market_envelope(
         "s", symbol=F.lit("A"), price=F.lit(1.0), size=F.lit(1), event_ts_ms=F.col("id")

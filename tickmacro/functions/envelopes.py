@@ -82,3 +82,13 @@ def encode_events(df: DataFrame, envelope: Column, topic: str) -> DataFrame:
         F.col("event.entity_key").alias("key"),
         F.to_json("event", {"ignoreNullFields": "false"}).alias("value"),
     )
+
+
+def dry_run_lines(df: DataFrame, envelope: Column, topic: str) -> DataFrame:
+    """What would be sent, as one line of JSON per event, for ``console`` or text."""
+    return df.select(envelope.alias("event")).select(
+        F.to_json(
+            F.struct(F.lit(topic).alias("topic"), F.col("event.entity_key").alias("key"), "event"),
+            {"ignoreNullFields": "false"},
+        ).alias("value")
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickmacro.functions.times import as_of_column
+from tickmacro.schemas import RETENTION_DAYS
 
 
 def _check_days(days: int) -> int:
@@ -38,6 +39,21 @@ def keep_recent_days(
     return df.where(F.col(day_col) >= F.date_sub(as_of.cast("date"), _check_days(days)))
 
 
+def apply_topic_retention(
+    spark: SparkSession, tables: dict[str, str], as_of: date | None = None
+) -> dict[str, list[str]]:
+    """Drop what each topic's retention no longer covers.
+
+    ``tables`` maps topics to dated tables. A compacted topic is never cut by
+    age. Returns the dropped days per table.
+    """
+    return {
+        table: drop_expired_partitions(spark, table, RETENTION_DAYS[topic], as_of)
+        for topic, table in tables.items()
+        if RETENTION_DAYS[topic] is not None
+    }
+
+
 def drop_expired_partitions(
     spark: SparkSession, table: str, days: int, as_of: date | None = None, *, day_col: str = "dt"
 ) -> list[str]:

@@ -4,11 +4,13 @@ A bar comes out when it arrives and again whenever its series changes. Both
 inputs travel in one stream, so a batch sees them at one point in time. Batch N
 does, from what batches before N left behind:
 
-1. state: the last release of each series in this batch;
-2. out:   new bars with the state as of N, and earlier bars with the changed series;
-3. write: out, state and bars, each as changelog partition N.
+1. bars:  the bars that arrived;
+2. state: the last release of the series, or the state of batch N-1 if none arrived;
+3. out:   the new bars, and after a change the earlier ones too, with the state as of N.
 
-Running batch N twice reads and writes the same partitions.
+Each is written as changelog partition N. Running batch N again reads the
+partitions before N and writes partition N once more, so it adds nothing. A
+batch without a change costs what arrived in it, however long the history is.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from tickmacro.operators.state import latest_by_key, latest_state
 from tickmacro.schemas import ENRICHED, MACRO_STATE
 from tickmacro.streaming.jobs import (
     BATCH,
+    read_batch,
     read_changelog,
     start_foreach,
     write_batch,
@@ -31,6 +34,7 @@ from tickmacro.streaming.jobs import (
 
 _BAR_FIELDS = ["symbol", "window_start", "close_price", "volume", "tick_count"]
 _BARS = StructType([ENRICHED[name] for name in _BAR_FIELDS])
+_STATE = StructType([*MACRO_STATE.fields, StructField("changed_in", LongType())])
 _OUT = StructType([*ENRICHED.fields, StructField("bar_batch", LongType())])
 
 
@@ -79,28 +83,27 @@ def _enrich_batch(
     series_id: str,
     reemit: bool,
 ) -> None:
-    new_bars = batch.where(F.col("bar").isNotNull()).select("bar.*")
-    write_batch(new_bars, f"{root}/bars", batch_id)
+    bars_path, state_path = f"{root}/bars", f"{root}/state"
+    arrived = batch.where(F.col("bar").isNotNull()).select("bar.*")
+    write_batch(arrived, bars_path, batch_id)
 
     releases = batch.where(F.col("payload").isNotNull())
-    changed = latest_state(releases, arrival="arrival").where(F.col("series_id") == series_id)
-    write_batch(changed, f"{root}/state", batch_id)
-
-    state = _state_until(spark, root, batch_id + 1)
-    new_bars = new_bars.withColumn("bar_batch", F.lit(batch_id).cast("bigint"))
-    out = enrich(new_bars, state, series_id, keep=("bar_batch",))
-    if reemit:
-        own = read_changelog(spark, f"{root}/state", MACRO_STATE)
-        changed = own.where(F.col(BATCH) == batch_id)
-        earlier = read_changelog(spark, f"{root}/bars", _BARS, before=batch_id)
-        earlier = earlier.withColumnRenamed(BATCH, "bar_batch")
-        out = out.unionByName(enrich(earlier, changed, series_id, keep=("bar_batch",)))
-    write_batch(out, f"{root}/out", batch_id)
-
-
-def _state_until(spark: SparkSession, root: str, before: int) -> DataFrame:
-    changes = read_changelog(spark, f"{root}/state", MACRO_STATE, before=before)
-    return latest_by_key(changes, ["series_id"], BATCH, ["macro_value", "release_ts_ms"])
+    state = latest_state(releases, arrival="arrival").where(F.col("series_id") == series_id)
+    state = state.withColumn("changed_in", F.lit(batch_id).cast("bigint"))
+    if batch_id > 0:
+        state = state.unionByName(read_batch(spark, state_path, _STATE, batch_id - 1))
+        state = latest_by_key(state, ["series_id"], "changed_in", _STATE.fieldNames()[1:])
+    write_batch(state, state_path, batch_id)
+
+    # From here on everything is read from what was written.
+    state = read_batch(spark, state_path, _STATE, batch_id)
+    if reemit and not state.where(F.col("changed_in") == batch_id).isEmpty():
+        bars = read_changelog(spark, bars_path, _BARS).where(F.col(BATCH) <= batch_id)
+        bars = bars.withColumnRenamed(BATCH, "bar_batch")
+    else:
+        bars = read_batch(spark, bars_path, _BARS, batch_id)
+        bars = bars.withColumn("bar_batch", F.lit(batch_id).cast("bigint"))
+    write_batch(enrich(bars, state, series_id, keep=("bar_batch",)), f"{root}/out", batch_id)
 
 
 def read_enriched(spark: SparkSession, root: str) -> DataFrame:

@@ -42,6 +42,26 @@ def start_append(
     return writer.start(path) if path else writer.start()
 
 
+def send_events(
+    events: DataFrame,
+    fmt: str,
+    path: str | None = None,
+    options: dict[str, str] | None = None,
+) -> None:
+    """Send a batch of (topic, key, value) rows.
+
+    ``kafka`` routes each row to its topic and acknowledges on all replicas;
+    a file format appends to a folder per topic; ``console`` prints.
+    """
+    writer = events.write.format(fmt).mode("append")
+    if fmt == "kafka":
+        writer = writer.option("kafka.acks", "all")
+    elif path:
+        writer = writer.partitionBy("topic")
+    writer = writer.options(**(options or {}))
+    writer.save(path) if path else writer.save()
+
+
 def start_bars(
     ticks: DataFrame, path: str, checkpoint: str, *, interval: str = "1 minute", **sink
 ) -> StreamingQuery:
@@ -98,13 +118,15 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
-def read_changelog(
-    spark: SparkSession, path: str, schema: StructType, before: int | None = None
-) -> DataFrame:
-    """Changelog rows with their ``batch_id``, optionally of earlier batches only."""
+def read_changelog(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All changelog rows with their ``batch_id``; a filter on it prunes folders."""
     stored = StructType([*schema.fields, StructField(BATCH, LongType())])
-    rows = spark.read.schema(stored).parquet(path)
-    return rows if before is None else rows.where(F.col(BATCH) < before)
+    return spark.read.schema(stored).parquet(path)
+
+
+def read_batch(spark: SparkSession, path: str, schema: StructType, batch_id: int) -> DataFrame:
+    """The rows of one batch, without listing the folders of the others."""
+    return spark.read.schema(schema).parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def start_changelog(
