@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.builders import Drop
-from tickmacro.sources.mock import UNITS, _draws, mock_ticks, walk_stream
+from tickmacro.sources.mock import UNITS, _draws, mock_tick_stream, mock_ticks, walk_stream
 
 
 def _loop(spark, symbol, start, count, seed):
@@ -72,3 +74,21 @@ def test_streamed_walk_carries_its_price_over_batches(spark, tmp_path):
     for symbol in "AB":
         rows = sorted((r["n"], r["price"], r["size"]) for r in got if r["symbol"] == symbol)
         assert rows == _loop(spark, symbol, 1.1, 120, 3)
+
+
+def test_endless_ticks_go_on_after_a_restart(spark, tmp_path):
+    ticks = mock_tick_stream(
+        spark, ["A"], start_ts_ms=7, interval_ms=10, start_price=1.0, rows_per_batch=5, seed=1
+    )
+    out, run = str(tmp_path / "out"), str(tmp_path / "run")
+    for _ in range(2):
+        writer = ticks.writeStream.format("parquet").option("checkpointLocation", run)
+        query = writer.trigger(processingTime="1 second").start(out)
+        seen = time.monotonic()
+        while len(query.recentProgress) < 2 and time.monotonic() - seen < 60:
+            time.sleep(0.2)
+        query.stop()
+    rows = sorted((r["n"], r["price"], r["size"], r["event_ts_ms"]) for r in spark.read.parquet(out).collect())
+    assert len(rows) >= 15 and len(rows) % 5 == 0
+    assert [r[:3] for r in rows] == _loop(spark, "A", 1.0, len(rows), 1)
+    assert [r[3] for r in rows] == [7 + 10 * n for n in range(len(rows))]

@@ -14,7 +14,7 @@ from tickmacro.operators.silver import silver_bars
 from tickmacro.operators.state import latest_state
 from tickmacro.schemas import BAR, MACRO_STATE, RELEASE_EVENT, TICK_EVENT
 from tickmacro.sources import tables
-from tickmacro.sources.events import decode_releases, route_dead_letters
+from tickmacro.sources.events import decode_releases, drop_resent, route_dead_letters
 from tickmacro.streaming import enrichment, jobs
 
 ONCE = {"availableNow": True}
@@ -275,3 +275,14 @@ def test_first_batch_may_lack_either_side(spark, tmp_path, reemit):
     feed = _Feed(spark, tmp_path)
     feed.step([], [("CPI", 1.0, 0, 1)], reemit=reemit)
     assert feed.table().count() == 0
+
+
+def test_resent_ticks_can_be_dropped_from_a_stream(spark, tmp_path):
+    rows = [("G", float(i), 1, i * 1000) for i in range(1, 31)]
+    drop = Drop(tmp_path / "in")
+    _drop_ticks(spark, drop, rows, rows[20:], [CLOSING])
+    once = drop_resent(tick_stream(spark, drop), ["entity_key", "event_ts_ms"])
+    jobs.start_append(
+        once.select("entity_key", "event_ts_ms"), f"{tmp_path}/out", f"{tmp_path}/run", trigger=ONCE
+    ).awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == len(rows) + 1

@@ -108,30 +108,38 @@ def mock_tick_stream(
     spark: SparkSession,
     symbols: list[str],
     *,
+    start_ts_ms: int,
+    interval_ms: int = DEFAULT_INTERVAL_MS,
     start_price: float = DEFAULT_START_PRICE,
-    rows_per_second: int = 1,
+    rows_per_batch: int = 1,
     seed: int = 0,
 ) -> DataFrame:
-    """Ticks without end, ``rows_per_second`` for each symbol.
+    """Ticks without end, ``rows_per_batch`` for each symbol and micro-batch.
 
-    The state of a symbol is its last price; the walk inside a micro-batch is
-    the same closed form as in ``mock_ticks``.
+    The trigger of the query sets the pace. The source gives every batch that
+    many rows, also after a pause, so what one symbol brings to a task stays
+    small. The state of a symbol is its last price.
     """
     ticks = (
-        spark.readStream.format("rate")
-        .option("rowsPerSecond", rows_per_second)
+        spark.readStream.format("rate-micro-batch")
+        .option("rowsPerBatch", rows_per_batch)
         .load()
         .select(
             F.explode(F.array(*[F.lit(s) for s in symbols])).alias("symbol"),
             F.col("value").alias("n"),
-            F.unix_millis("timestamp").alias("event_ts_ms"),
+            (F.lit(start_ts_ms).cast("bigint") + F.col("value") * interval_ms).alias(
+                "event_ts_ms"
+            ),
         )
     )
     return walk_stream(ticks, start_price=start_price, seed=seed)
 
 
 def walk_stream(ticks: DataFrame, *, start_price: float, seed: int = 0) -> DataFrame:
-    """Prices and sizes for a stream of (symbol, n, event_ts_ms)."""
+    """Prices and sizes for a stream of (symbol, n, event_ts_ms).
+
+    A micro-batch walks on from the state by the closed form of ``mock_ticks``.
+    """
     step, size = _draws(seed)
     drawn = ticks.select(
         "symbol", "n", "event_ts_ms", step.alias("step"), size.alias("size")

@@ -25,11 +25,18 @@ def start_append(
     *,
     fmt: str = "parquet",
     partition_by: list[str] | None = None,
+    rebalance: bool = True,
     trigger: dict | None = None,
     options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Append rows to any sink. A file sink commits each file once, also after
-    a restart; ``console`` prints instead of sending."""
+    a restart; ``console`` prints instead of sending.
+
+    ``rebalance`` gathers each folder of a partitioned sink into few files per
+    micro-batch and splits a large one, instead of a file per task and folder.
+    """
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     writer = (
         df.writeStream.format(fmt)
         .outputMode("append")
@@ -100,8 +107,13 @@ def start_serving(
 
 
 def start_routed(events: DataFrame, path: str, checkpoint: str, **sink) -> StreamingQuery:
-    """Events to the topic named in each row (a folder per topic on files)."""
-    return start_append(events, path, checkpoint, partition_by=["topic"], **sink)
+    """Events to the topic named in each row (a folder per topic on files).
+
+    There are two topics, so raw events are not shuffled for the sake of files.
+    """
+    return start_append(
+        events, path, checkpoint, partition_by=["topic"], rebalance=False, **sink
+    )
 
 
 def read_routed(spark: SparkSession, path: str) -> DataFrame:
