@@ -25,7 +25,8 @@ FLOOR = 1 * UNITS
 DEFAULT_COUNT = 20
 DEFAULT_START_PRICE = 180.0
 DEFAULT_INTERVAL_MS = 1_000
-BLOCK = 50_000
+# A window keeps up to 4,096 rows of a group without spilling.
+BLOCK = 4_000
 
 
 def _draws(seed: int) -> tuple[Column, Column]:
