@@ -17,15 +17,9 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _kind(name: str) -> str:
+    """Spark's type name in SQL terms."""
     name = name.lower()
-    for kind, names in {
-        "integer": ("bigint", "integer", "int", "long"),
-        "text": ("varchar", "string"),
-        "time": ("timestamp", "timestamp_ntz"),
-    }.items():
-        if name in names:
-            return kind
-    return name
+    return {"string": "varchar", "int": "integer", "timestamp_ntz": "timestamp"}.get(name, name)
 
 
 def _sortable(row: tuple) -> tuple:

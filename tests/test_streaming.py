@@ -156,9 +156,7 @@ def test_streamed_state_is_the_last_arrival_and_compacts(spark, tmp_path):
     )
     _same(jobs.read_macro_state(spark, path), want)
     assert jobs.read_changelog(spark, path, MACRO_STATE).count() > 2
-    compacted = jobs.compact_changelog(
-        spark, path, f"{tmp_path}/compacted", MACRO_STATE, ["series_id"]
-    )
+    compacted = jobs.compact(jobs.read_macro_state(spark, path), f"{tmp_path}/compacted")
     _same(compacted, want)
     assert compacted.count() == 2
 

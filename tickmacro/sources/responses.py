@@ -13,9 +13,8 @@ _OBSERVATIONS = (
     "observations array<struct<date: string, value: string, "
     "realtime_start: string, realtime_end: string>>"
 )
-# WindowGroupLimit keeps at most this many rows per key before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-_GROUP_LIMIT = 1000
+# Up to this limit Spark cuts a ranked group to its top rows before the shuffle.
+_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def parse_series(csv: str) -> list[str]:
@@ -49,10 +48,13 @@ def raw_observations(responses: DataFrame, series: list[str] | None = None) -> D
 def newest_observations(observations: DataFrame, limit: int, *, salts: int = 64) -> DataFrame:
     """The ``limit`` newest observations of each series.
 
-    Spark trims each series to ``limit`` rows before the shuffle. Above the
-    size it does that for, a first pass over salted keys does the same, so one
-    large series never reaches one task whole.
+    Every task first cuts a series to its ``limit`` newest rows. Those meet in
+    ``salts`` parts per series, are cut again, and only then in one task, which
+    sees ``salts * limit`` rows of a series at most.
     """
+    spark = observations.sparkSession
+    if int(spark.conf.get(_GROUP_LIMIT)) < limit:
+        spark.conf.set(_GROUP_LIMIT, str(limit))
     newest = [
         F.col(c).desc_nulls_last() for c in ("date", "realtime_start", "realtime_end", "value")
     ]
@@ -61,13 +63,10 @@ def newest_observations(observations: DataFrame, limit: int, *, salts: int = 64)
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
         return df.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
 
-    if limit > _GROUP_LIMIT:
-        # By position, not by content: copies of one observation spread as well.
-        salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts))
-        observations = top(observations.withColumn("_salt", salt), "series_id", "_salt").drop(
-            "_salt"
-        )
-    return top(observations, "series_id")
+    # By task, not by content: copies of one observation spread as well.
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts))
+    salted = top(observations.withColumn("_salt", salt), "series_id", "_salt")
+    return top(salted.drop("_salt"), "series_id")
 
 
 def observations(raw: DataFrame) -> DataFrame:

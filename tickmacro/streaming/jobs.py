@@ -191,13 +191,11 @@ def read_macro_state(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def compact_changelog(
-    spark: SparkSession, path: str, compacted_path: str, schema: StructType, keys: list[str]
-) -> DataFrame:
+def compact(latest: DataFrame, path: str) -> DataFrame:
     """Write the newest version of each key to a new folder and read it back.
 
-    The source is left as it is; point readers at the new folder, then drop it.
+    ``latest`` is the read side of a changelog. The changelog is left as it is;
+    point readers at the new folder, then drop it.
     """
-    latest = state.latest_by_key(read_changelog(spark, path, schema), keys, BATCH)
-    latest.write.mode("errorifexists").parquet(compacted_path)
-    return spark.read.schema(latest.schema).parquet(compacted_path)
+    latest.write.mode("errorifexists").parquet(path)
+    return latest.sparkSession.read.schema(latest.schema).parquet(path)
