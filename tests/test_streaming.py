@@ -215,6 +215,7 @@ def test_streamed_enrichment_ends_as_the_plain_join(spark, tmp_path):
     for bar_rows, release_rows in STEPS:
         feed.step(bar_rows, release_rows)
         emitted.append(feed.emitted())
+        _same(enrichment.view_enriched(spark, f"{tmp_path}/enriched"), feed.table())
     all_bars = bars(spark, *[b for rows, _ in STEPS for b in rows])
     all_releases = releases(spark, *[r for _, rows in STEPS for r in rows])
     state = latest_state(all_releases, arrival="ingest_ts_ms")
@@ -246,6 +247,8 @@ def test_enrichment_without_re_emission_gives_each_bar_once(spark, tmp_path):
         feed.step(*step, reemit=False)
     got = {(r["symbol"], r["window_start"].minute): r["macro_value"] for r in feed.table().collect()}
     assert got == {("G", 1): 3.0, ("G", 2): 2.0, ("H", 2): 2.0}
+    joined = enrichment.view_enriched(spark, f"{tmp_path}/enriched")
+    assert {r["macro_value"] for r in joined.collect()} == {2.0} and joined.count() == 5
     assert feed.emitted() == 3
 
 
@@ -256,6 +259,7 @@ def test_a_bar_sent_again_replaces_the_earlier_one(spark, tmp_path):
     feed.step([], [("DFF", 5.0, 0, 2)])
     rows = feed.table().collect()
     assert [(r["close_price"], r["macro_value"]) for r in rows] == [(2.0, 5.0)]
+    _same(enrichment.view_enriched(spark, f"{tmp_path}/enriched"), feed.table())
 
 
 def test_console_sink_prints_instead_of_sending(spark, tmp_path):

@@ -115,3 +115,20 @@ def read_enriched(spark: SparkSession, root: str) -> DataFrame:
     version = F.shiftleft(BATCH, 31) + F.col("bar_batch")
     columns = [c for c in ENRICHED.fieldNames() if c not in ENRICHED_KEY]
     return latest_by_key(rows, ENRICHED_KEY, version, columns)
+
+
+def view_enriched(
+    spark: SparkSession, root: str, series_id: str = DEFAULT_SERIES
+) -> DataFrame:
+    """The same table, joined when it is read.
+
+    It needs no re-emission: over a long history run the job with
+    ``reemit=False`` and read this, instead of writing every bar again for
+    each release.
+    """
+    bars = latest_by_key(
+        read_changelog(spark, f"{root}/bars", _BARS), ["symbol", "window_start"], BATCH
+    )
+    state = read_changelog(spark, f"{root}/state", _STATE)
+    state = latest_by_key(state, ["series_id"], "changed_in", MACRO_STATE.fieldNames()[1:])
+    return enrich(bars, state, series_id)
