@@ -30,7 +30,7 @@ def _loop(spark, symbol, start, count, seed):
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
-    start=st.sampled_from([1.0, 1.2, 180.0]),
+    start=st.sampled_from([0.3, 1.0, 1.2, 180.0]),
     count=st.integers(1, 300),
     block=st.sampled_from([7, 64, 1000]),
     seed=st.integers(0, 5),

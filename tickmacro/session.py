@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -45,9 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    base = tempfile.mkdtemp(prefix="tickmacro-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tickmacro-")
 
 
 def new_dir(spark: SparkSession, name: str) -> str:

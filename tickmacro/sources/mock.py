@@ -5,7 +5,7 @@ same steps again. Prices are counted in 1/10,000 to stay exact.
 
 The walk ``x[n] = max(floor, x[n-1] + d[n])`` needs no loop: with the free walk
 ``S[n] = start + d[1] + ... + d[n]`` it equals
-``S[n] + max(0, floor - min(S[1..n]))`` when ``start >= floor``.
+``S[n] + max(0, floor - min(S[1..n]))``, also for a start below the floor.
 """
 
 from __future__ import annotations
@@ -64,7 +64,7 @@ def mock_ticks(
     # Only block descriptors are shuffled; ticks are born in their partition.
     blocks = symbols.select(
         "symbol",
-        F.greatest(start, F.lit(FLOOR)).alias("start"),
+        start.alias("start"),
         F.explode(F.sequence(F.lit(0), F.lit(last_block))).alias("block"),
     ).repartition("symbol", "block")
     first_n = F.col("block").cast("bigint") * block
@@ -145,7 +145,7 @@ def walk_stream(ticks: DataFrame, *, start_price: float, seed: int = 0) -> DataF
     drawn = ticks.select(
         "symbol", "n", "event_ts_ms", step.alias("step"), size.alias("size")
     )
-    start, floor, units = max(round(start_price * UNITS), FLOOR), FLOOR, UNITS
+    start, floor, units = round(start_price * UNITS), FLOOR, UNITS
 
     def advance(key: tuple, frames: Iterator[Any], state: Any) -> Iterator[Any]:
         import numpy as np
