@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import pytest
-
 from tickmacro.session import new_dir, shared_dir
 
 
@@ -19,13 +17,9 @@ def test_the_cluster_names_the_shared_folder():
     assert new_dir(session, "a") != new_dir(session, "a")
 
 
-def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(_Session("yarn"))
-
-
-def test_a_local_master_may_use_a_temporary_folder():
-    assert shared_dir(_Session("local[2]")) == shared_dir(_Session("local[2]"))
+def test_without_a_setting_the_warehouse_holds_the_work_folder():
+    session = _Session("yarn", **{"spark.sql.warehouse.dir": "hdfs:///wh/"})
+    assert shared_dir(session) == "hdfs:///wh/_work"
 
 
 def test_the_session_setting_is_read(spark):

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -37,21 +35,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, named by ``spark.checkpoint.dir``.
+    """The folder all executors see: ``spark.checkpoint.dir``, else one in the warehouse.
 
-    Only a local master may fall back to a temporary folder.
+    Both are shared by the cluster; no folder of one machine is ever used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return _local_dir()
-
-
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="tickmacro-")
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    return base.rstrip("/")
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
