@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,15 @@ def words(text: Column, separators: str = SPACES) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once.
+
+    What a lambda captures is computed anew for every element; its own parameter
+    is not, so the value becomes the one element of an array.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmacro.llm import decontaminate, simhash
+from tickmacro.llm import decontaminate, mixing, quality, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,38 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The shards of the production table.
+SHARDS = [f"shard-{k:04d}" for k in range(256)]
+
+
+def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id")
+    placed = sharding.assign(docs, SHARDS)
+    return placed.select("doc_id", sharding.slot_of(F.col("doc_id")).alias("slot"), "shard")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = quality.measure(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    certified = quality.cutoffs(measured, _table(spark, sf_dir, "labels"))
+    return quality.judge(measured, certified).select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = mixing.sized(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return mixing.take(sizes).select(
+        F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken"
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.fingerprints(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return simhash.near_duplicates(marked).select(
@@ -39,5 +71,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
+    "op6_shard": op6_shard,
+    "op7_quality": op7_quality,
+    "op8_mix": op8_mix,
     "op9_simhash": op9_simhash,
 }
