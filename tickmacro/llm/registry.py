@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from tickmacro.llm.oracles import LLM_ORACLES
-from tickmacro.llm.queries import LLM_QUERIES
+import corpus_pipeline
+from tickmacro.llm import oracles, queries
 
-__all__ = ["LLM_ORACLES", "LLM_QUERIES"]
+LLM_QUERIES = {**queries.LLM_QUERIES, "pipeline": corpus_pipeline.run}
+LLM_ORACLES = dict(oracles.LLM_ORACLES)
+if corpus_pipeline.ORACLE_SQL is not None:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
