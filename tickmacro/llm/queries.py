@@ -4,16 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmacro.llm import decontaminate, mixing, quality, sharding, simhash
+from tickmacro.llm import decontaminate, mixing, quality, secret_scan, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _of_kind(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *[_of_kind("base", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secret_scan.digest(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.digest(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.decontaminate(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep=["doc_id"]
@@ -70,6 +84,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op5_decontaminate": op5_decontaminate,
     "op6_shard": op6_shard,
     "op7_quality": op7_quality,
