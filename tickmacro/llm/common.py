@@ -52,14 +52,15 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
-def matches(text: Column, kind: str, pattern: str) -> Column:
+def matches(text: Column, kind: str, pattern: str | Column) -> Column:
     """Every leftmost match as a struct of kind, start, end and value.
 
     Starts and ends are code points, the end exclusive. The pieces between the
     matches have all other characters, so running lengths give the positions and
     a long text is read once. ``pattern`` must not match the empty string.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    found = F.regexp_extract_all(text, pattern, F.lit(0))
     pieces = F.split(text, pattern, -1)
     lengths = F.zip_with(
         F.slice(pieces, 1, F.size(found)),
@@ -88,7 +89,7 @@ def matches(text: Column, kind: str, pattern: str) -> Column:
         ),
     )
     none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,value:string>>")
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    return F.when(F.rlike(text, pattern), spans).otherwise(none)
 
 
 def spans_text(spans: Column, rank: dict[str, int]) -> Column:
@@ -110,3 +111,27 @@ def spans_text(spans: Column, rank: dict[str, int]) -> Column:
         ),
         ",",
     )
+
+
+def masked(text: Column, spans: Column, marks: dict[str, str]) -> Column:
+    """``text`` with each span replaced by the mark of its kind, ``[kind]`` by default.
+
+    Of spans that overlap the first is replaced.
+    """
+    table = F.create_map(*[F.lit(x) for pair in marks.items() for x in pair])
+    mark = lambda kind: F.coalesce(table[kind], F.concat(F.lit("["), kind, F.lit("]")))
+    ordered = F.array_sort(
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    )
+
+    def step(acc: Column, s: Column) -> Column:
+        between = F.substring(text, acc["at"] + 1, (s["start"] - acc["at"]).cast("int"))
+        more = F.struct(
+            F.concat(acc["out"], between, mark(s["kind"])).alias("out"), s["end"].cast("int").alias("at")
+        )
+        return F.when(s["start"] >= acc["at"], more).otherwise(acc)
+
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    return F.aggregate(
+        ordered, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmacro.llm import decontaminate, mixing, quality, secret_scan, sharding, simhash
+from tickmacro.llm import decontaminate, mixing, pii, quality, secret_scan, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,16 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *[_of_kind("base", kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")],
+        F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"),
+        pii.digest(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.decontaminate(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep=["doc_id"]
@@ -85,6 +95,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_shard": op6_shard,
     "op7_quality": op7_quality,

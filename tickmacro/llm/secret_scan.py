@@ -113,27 +113,5 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     return rated.select("row", "base", F.concat("base", random).alias("spans"))
 
 
-def mask(text: Column, spans: Column) -> Column:
-    """``text`` with each span replaced by its kind in brackets; of overlapping spans
-    the later ones go."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    step = lambda acc, s: F.when(
-        s["start"] >= acc["at"],
-        F.struct(
-            F.concat(
-                acc["out"],
-                F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
-                F.lit("["),
-                s["kind"],
-                F.lit("]"),
-            ).alias("out"),
-            s["end"].cast("int").alias("at"),
-        ),
-    ).otherwise(acc)
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    end = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    return F.aggregate(ordered, start, step, end)
-
-
 def digest(spans: Column) -> Column:
     return spans_text(spans, RANKS)
