@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmacro.llm import decontaminate, mixing, pii, quality, secret_scan, sharding, simhash
+from tickmacro.llm import decontaminate, mixing, pii, quality, secret_scan, sentence_dedup, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,18 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = sentence_dedup.dedup(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    cut = F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return clean.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "text",
+        "n_sentences",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(cut, ",").alias("removed"),
+    )
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select(
@@ -95,6 +107,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_sentence_dedup": op2_sentence_dedup,
     "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_shard": op6_shard,
