@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmacro.llm import decontaminate, mixing, pii, quality, secret_scan, sentence_dedup, sharding, simhash
+from tickmacro.llm import decontaminate, mixing, pii, quality, secret_scan, sentence_dedup, sharding, simhash, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,21 @@ def op2_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The rules for pages.
+URL_RULES = [
+    url_filter.Rule("com", "/", allow=True),
+    url_filter.Rule("example.com", "/en/", allow=False),
+    url_filter.Rule("www.example.com", "/en/", allow=True),
+    url_filter.Rule("net", "/es/", allow=False),
+    url_filter.Rule("net", "/fr/", allow=False),
+]
+
+
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES, keep=["page_id"])
+    return judged.select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select(
@@ -108,6 +123,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_sentence_dedup": op2_sentence_dedup,
+    "op3_urls": op3_urls,
     "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_shard": op6_shard,
