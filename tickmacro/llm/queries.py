@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmacro.llm import decontaminate, mixing, pii, quality, secret_scan, sentence_dedup, sharding, simhash, url_filter
+from tickmacro.llm import decontaminate, maxent, mixing, pii, quality, secret_scan, sentence_dedup, sharding, simhash, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +120,19 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = maxent.score_texts(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return scored.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.col("held").alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_sentence_dedup": op2_sentence_dedup,
@@ -130,4 +143,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_mix": op8_mix,
     "op9_simhash": op9_simhash,
+    "op10_maxent": op10_maxent,
 }
