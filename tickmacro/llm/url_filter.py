@@ -136,7 +136,8 @@ def calibrate(held: DataFrame, false_rejects: float = 0.01) -> DataFrame:
     )
     upto, all_rows = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
     share = lambda c: F.try_divide(F.sum(c).over(upto), F.sum(c).over(all_rows))
-    cuts = per.select("step", share("y").alias("wrong"), share("n").alias("right")).where(F.col("wrong") <= false_rejects)
+    cuts = per.select("step", share("y").alias("wrong"), share("n").alias("right"))
+    cuts = cuts.where((F.col("wrong") <= false_rejects) & F.col("right").isNotNull())
     best = cuts.agg(F.max(F.struct(F.col("right") - F.col("wrong"), -F.col("step"))).alias("best"))
     return staged(best.select((-F.col("best.col2")).alias("cut")).where("cut is not null"), "cut")
 
@@ -158,7 +159,8 @@ def filter_urls(
     judged = apply_rules(pages, rules, url, keep)
     judged = staged(judged.withColumn("grams", _grams(F.col("host"), F.col("path"))), "urls")
     labelled = judged.where("allowed is not null")
-    fold = F.crc32(F.concat("host", "path").cast("binary")) % folds
+    digest = F.md5(F.concat("host", "path").cast("binary"))
+    fold = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") % folds
     ratio = train(labelled.where(fold != 0))
     held = labelled.where(fold == 0).withColumn("ratio", ratio.scalar())
     cut = calibrate(held.select("allowed", step_of(F.col("grams"), F.col("ratio")).alias("step")).where("step is not null"), false_rejects)
