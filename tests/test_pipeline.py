@@ -13,7 +13,7 @@ from tickmacro.functions.envelopes import encode_events, market_envelope
 from tickmacro.operators.serving import read_serving
 from tickmacro.plans import gold, reports
 from tickmacro.schemas import RELEASE_EVENT, TICK_DEAD_TOPIC, TICK_EVENT, TICK_TOPIC
-from tickmacro.sources import mock, tables
+from tickmacro.sources import tables
 from tickmacro.sources.events import decode_releases, decode_ticks, route_dead_letters
 from tickmacro.streaming import enrichment, jobs
 
@@ -30,12 +30,11 @@ def root(tmp_path, spark):
 
 def _tick_lines(spark):
     """Ticks every half hour for some days, two of them spoilt."""
-    symbols = spark.createDataFrame([(s, 180.0) for s in SYMBOLS], "symbol string, start_price double")
-    ticks = mock.mock_ticks(
-        symbols, 48 * DAYS, start_ts_ms=ms("2024-01-01"), interval_ms=1_800_000
-    )
+    start = ms("2024-01-01")
+    rows = [(s, 180.0 + n % 7, 1 + n % 5, start + n * 1_800_000) for s in SYMBOLS for n in range(48 * DAYS)]
+    ticks = spark.createDataFrame(rows, "symbol string, price double, size long, event_ts_ms long")
     envelope = market_envelope(
-        "mock",
+        "test",
         symbol=F.col("symbol"),
         price=F.col("price"),
         size=F.col("size"),

@@ -103,12 +103,6 @@ def test_symbol_filter_reaches_the_scan(spark, tmp_path, sf_dir):
     assert "EqualTo(symbol,click)" in plan and "TakeOrderedAndProject" in plan
 
 
-def test_only_block_descriptors_of_the_walk_are_shuffled(spark, sf_dir):
-    plan = _plan(queries.mock_ticks(spark, sf_dir))
-    assert _exchanges(plan) == 1
-    assert plan.index("md5") < plan.index("Exchange")
-
-
 def test_large_limits_are_trimmed_as_well(spark):
     columns = ("series_id", "date", "value", "realtime_start", "realtime_end")
     df = spark.range(100_000).select(*[F.col("id").cast("string").alias(c) for c in columns])

@@ -6,8 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.compare import compare, connect
-
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from tickmacro.checks.oracles import ORACLES
+from tickmacro.checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -91,6 +91,7 @@ def test_recent_bars_by_day_are_the_same_bars(spark, tmp_path):
 def test_close_timeseries_is_averaged_and_ordered(spark):
     at = NOW - timedelta(minutes=30)
     rows = _silver(spark, ("A", at, 1.0), ("A", at, 3.0), ("B", at, 5.0), ("A", NOW - timedelta(hours=2), 99.0))
+    rows = rows.union(_silver(spark, ("A", NOW + timedelta(minutes=1), 77.0), ("A", NOW + timedelta(days=1), 88.0)))
     got = reports.close_timeseries(rows, as_of=NOW).collect()
     assert [(r["symbol"], r["avg_close_price"]) for r in got] == [("B", 5.0), ("A", 2.0)]
 

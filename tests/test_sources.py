@@ -84,11 +84,16 @@ def test_event_ids_differ(spark):
 def test_decode_fails_on_malformed_events_unless_routed(spark):
     good = encode(spark, TICK_EVENT, tick_rows(("G", 1.5, 2, 1_000)))
     bad_type = '{"payload": {"symbol": "G", "price": "x", "size": 1}}'
-    raw = spark.createDataFrame([(v,) for v in [*good, "{bad", bad_type, ""]], "value string")
+    timeless = '{"event_id": "1", "payload": {"symbol": "G", "price": 1.0, "size": 1}}'
+    lacking = ["{}", timeless, '{"event_id": "1", "event_ts_ms": 5}', '{"event_ts_ms": 5, "payload": {"symbol": "G", "price": 1.0}}']
+    bad = ["{bad", bad_type, "", *lacking]
+    raw = spark.createDataFrame([(v,) for v in [*good, *bad]], "value string")
     routed = events.route_dead_letters(raw, TICK_EVENT, topic="live", dead_topic="dead")
-    assert dict(routed.groupBy("topic").count().collect()) == {"live": 1, "dead": 3}
+    assert dict(routed.groupBy("topic").count().collect()) == {"live": 1, "dead": len(bad)}
     dead = routed.where("topic = 'dead'").select("value")
-    assert {r[0] for r in dead.collect()} == {"{bad", bad_type, ""}
+    assert {r[0] for r in dead.collect()} == set(bad)
+    with pytest.raises(Exception, match="without event_ts_ms"):
+        events.decode_ticks(raw.where(F.col("value") == timeless)).collect()
     tick = events.decode_ticks(routed.where("topic = 'live'")).first()
     assert (tick["payload"]["price"], tick["event_time"].second) == (1.5, 1)
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
@@ -169,6 +174,23 @@ def test_quotes(spark):
     ]
 
 
+def test_broken_responses_are_split_off_or_fail(spark):
+    bodies = ['{"c": 1, "t": 2}', '{"c": 1', "<html>", '{"c": 1}', '{"t": 2}', "", None, '{"c": "x", "t": 2}']
+    landed = spark.createDataFrame([("G", b) for b in bodies], "symbol string, body string")
+    split = responses.split_quotes(landed)
+    assert [r["body"] for r in split.where("not dead").collect()] == bodies[:1]
+    assert split.where("dead").count() == len(bodies) - 1
+    with pytest.raises(Exception, match="broken response"):
+        responses.quotes(landed).collect()
+    bodies = ['{"observations": [{"date": "2024-01-01", "value": "1"}]}', "{}", '{"observations": [{"date"', "<html>", '{"observations": [{"value": "1"}]}', None]
+    landed = spark.createDataFrame([("S", b) for b in bodies], "series_id string, body string")
+    split = responses.split_observations(landed)
+    assert [r["body"] for r in split.where("not dead").collect()] == bodies[:2]
+    assert responses.raw_observations(split.where("not dead")).count() == 1
+    with pytest.raises(Exception, match="broken response"):
+        responses.raw_observations(landed).collect()
+
+
 def test_kafka_options_read_committed_records_from_the_start():
     options = events.kafka_options("broker:9092", "ticks")
     assert options["startingOffsets"] == "earliest"

@@ -8,7 +8,7 @@ ticks AS (
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS size,
          epoch_us(ts) // 1000 AS event_ts_ms,
          make_timestamp((epoch_us(ts) // 1000) * 1000) AS event_time
-  FROM events WHERE event_type IN ('click', 'view', 'purchase')
+  FROM events
 )"""
 
 _RELEASES = """
@@ -17,7 +17,7 @@ releases AS (
          epoch_us(ts) // 1000 AS release_ts_ms,
          make_timestamp((epoch_us(ts) // 1000) * 1000) AS release_ts_utc,
          strftime(ts, '%Y-%m-%d') AS day
-  FROM events WHERE event_type IN ('signup', 'error')
+  FROM events
 )"""
 
 
@@ -34,10 +34,6 @@ bars AS (
 )"""
 
 
-# A streamed bar is out once the watermark, 10 seconds behind the newest tick,
-# has reached its end.
-_CLOSED = "window_end <= (SELECT max(event_time) FROM ticks) - INTERVAL 10 SECOND"
-
 _STATE = """
 state AS (
   SELECT series_id, macro_value, release_ts_ms FROM releases
@@ -128,8 +124,8 @@ serving AS (
 )"""
 
 
-def _with(*parts: str, recursive: bool = False) -> str:
-    return ("WITH RECURSIVE " if recursive else "WITH ") + ",".join(parts)
+def _with(*parts: str) -> str:
+    return "WITH " + ",".join(parts)
 
 
 _EVENT_BARS = (_TICKS, _bars())
@@ -165,24 +161,13 @@ SELECT series_id, date AS observation_date, CAST(value AS DOUBLE) AS value,
        coalesce(realtime_start, date) AS realtime_start,
        coalesce(realtime_end, date) AS realtime_end"""
 
-# The walk step by step, as it is defined.
-_MOCK = """
-draws AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS symbol, p_size * 10000 AS start, n,
-         md5('42|' || p_partkey || '|' || n) AS digest
-  FROM part, range(20) r(n)
-), steps AS (
-  SELECT symbol, n, start,
-         CAST('0x' || substr(digest, 1, 7) AS BIGINT) % 7001 - 3500 AS step,
-         CAST('0x' || substr(digest, 8, 7) AS BIGINT) % 491 + 10 AS size
-  FROM draws
-), walk AS (
-  SELECT symbol, n, greatest(10000, start + step) AS units, size FROM steps WHERE n = 0
-  UNION ALL
-  SELECT s.symbol, s.n, greatest(10000, w.units + s.step), s.size
-  FROM walk w JOIN steps s ON s.symbol = w.symbol AND s.n = w.n + 1
+_MIDDLE = """
+middle AS (
+  SELECT date_trunc('minute', make_timestamp((min(event_ts_ms) + max(event_ts_ms)) // 2 * 1000)) AS moment FROM ticks
 )"""
 
+_BROKEN = "event_type IN ('signup', 'error') OR event_id % 10 IN (3, 7)"
+
 ORACLES: dict[str, str] = {
     "raw_tick_decode": f"""{_with(_TICKS)} {_TICK_FIELDS}, event_time, symbol,
        round(price, 4) AS price, size FROM ticks""",
@@ -199,12 +184,26 @@ ORACLES: dict[str, str] = {
        day AS payload_realtime_end FROM releases""",
     "raw_tick_sample": f"""{_with(_TICKS)} {_TICK_FIELDS}, symbol, round(price, 4) AS price, size
        FROM ticks ORDER BY event_ts_ms, CAST(event_id AS VARCHAR) LIMIT 3""",
-    "dead_letter_split": """
+    "dead_letter_split": f"""
 SELECT CAST(event_id AS VARCHAR) AS key,
-       CASE WHEN event_type IN ('signup', 'error') THEN 'dlq.raw.market.finnhub.tick.v1'
+       CASE WHEN {_BROKEN} THEN 'dlq.raw.market.finnhub.tick.v1'
             ELSE 'raw.market.finnhub.tick.v1' END AS topic,
-       CASE WHEN event_type NOT IN ('signup', 'error') THEN value END AS price
+       CASE WHEN NOT ({_BROKEN}) THEN value END AS price
 FROM events""",
+    "release_dead_letter_split": f"""
+SELECT CAST(event_id AS VARCHAR) AS key,
+       CASE WHEN {_BROKEN} THEN 'dlq.raw.macro.fred.release.v1'
+            ELSE 'raw.macro.fred.release.v1' END AS topic,
+       CASE WHEN NOT ({_BROKEN}) THEN value END AS value
+FROM events""",
+    "response_dead_letters": f"""
+SELECT CAST(event_id AS VARCHAR) AS key, kind, ({_BROKEN}) AS dead,
+       CASE WHEN {_BROKEN} THEN NULL WHEN kind = 'quote' THEN value
+            ELSE CAST(CAST(value AS DECIMAL(18, 2)) AS DOUBLE) END AS price
+FROM events, (VALUES ('quote'), ('observations')) k(kind)""",
+    "dry_run": f"""{_with(_TICKS)}
+SELECT 'raw.market.finnhub.tick.v1' AS topic, symbol AS key, CAST(event_id AS VARCHAR) AS event_id,
+       round(price, 4) AS price FROM ticks""",
     "fred_observations": f"""{_with(_OBSERVATIONS)} {_OBSERVED}
 FROM listed WHERE value <> '.' AND series_id IN ('error', 'signup', 'view')""",
     "fred_observations_latest": f"""{_with(_OBSERVATIONS)} {_OBSERVED}
@@ -218,9 +217,6 @@ FROM (
 SELECT event_type AS symbol, value AS price,
        (epoch_us(ts) // 1000000) * 1000 AS event_ts_ms, CAST(1 AS BIGINT) AS size
 FROM events""",
-    "mock_ticks": f"""{_with(_MOCK, recursive=True)}
-SELECT symbol, CAST(n AS BIGINT) AS n, units / 10000.0 AS price, CAST(size AS BIGINT) AS size,
-       1700000000000 + n * 1000 AS event_ts_ms FROM walk""",
     "market_bar_1m": f"{_with(*_EVENT_BARS)} SELECT * FROM bars",
     "market_bar_1h": f"{_with(_TICKS, _bars('1 hour'))} SELECT * FROM bars",
     "market_bar_true_ohlc": f"""{_with(_TICKS)}
@@ -256,10 +252,10 @@ UNION ALL SELECT 'market_macro_correlation_daily', count(*) FROM aligned""",
     "monitor_recent_bars": f"""{_with(*_EVENT_BARS)}
 SELECT window_start AS bucket_1m_utc, symbol, open_price, close_price, volume, tick_count
 FROM bars ORDER BY window_start DESC, symbol LIMIT 50""",
-    "monitor_close_timeseries": f"""{_with(*_EVENT_BARS)}
+    "monitor_close_timeseries": f"""{_with(*_EVENT_BARS, _MIDDLE)}
 SELECT window_start AS bucket_1m_utc, symbol, round(avg(close_price), 9) AS avg_close_price
 FROM bars
-WHERE window_start >= (SELECT max(window_start) FROM bars) - INTERVAL 1 HOUR
+WHERE window_start BETWEEN (SELECT moment FROM middle) - INTERVAL 1 HOUR AND (SELECT moment FROM middle)
 GROUP BY ALL ORDER BY avg_close_price DESC, bucket_1m_utc, symbol LIMIT 1000""",
     "serving_bar_minute": f"""{_with(*_EVENT_BARS, _SERVING)}
 SELECT * EXCLUDE (window_start) FROM serving""",
@@ -270,7 +266,7 @@ SELECT time, symbol, round(sum(close_price_sum), 9) AS close_price_sum,
 FROM serving GROUP BY ALL""",
     "serving_late_reject": f"""{_with(*_EVENT_BARS, _SERVING)}
 SELECT * EXCLUDE (window_start, hour) FROM serving
-WHERE window_start >= (SELECT max(event_time) FROM ticks) - INTERVAL 2 HOUR""",
+WHERE window_start >= (SELECT date_trunc('hour', max(event_time)) FROM ticks) - INTERVAL 2 HOUR""",
     "retention_keep": f"""{_with(*_EVENT_BARS, _SERVING)}
 SELECT * EXCLUDE (window_start, hour) FROM serving
 WHERE time >= (SELECT max(event_time) FROM ticks) - INTERVAL 7 DAY""",
@@ -279,20 +275,13 @@ SELECT * FROM silver WHERE dt >= (SELECT CAST(max(event_time) AS DATE) FROM tick
     "changelog_compact": """
 SELECT user_id, event_type, event_id, value, props FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1""",
-    "market_bar_1m_stream": f"{_with(*_EVENT_BARS)} SELECT * FROM bars WHERE {_CLOSED}",
-    "silver_market_bar_1m_stream": (
-        f"{_with(_TICKS, _bars().replace('bars AS', 'every_bar AS'))}, bars AS "
-        f"(SELECT * FROM every_bar WHERE {_CLOSED}), {_SILVER} SELECT * FROM silver"
-    ),
+    "market_bar_1m_stream": f"{_with(*_EVENT_BARS)} SELECT * FROM bars",
+    "silver_market_bar_1m_stream": f"{_with(*_EVENT_BARS, _SILVER)} SELECT * FROM silver",
     "silver_macro_release_stream": f"{_with(_RELEASES)} {_SILVER_RELEASE}",
     "macro_latest_state_stream": f"{_with(_RELEASES, _STATE)} SELECT * FROM state",
-    "enriched_market_macro_1m_stream": (
-        f"{_with(_TICKS, _RELEASES, _bars(), _STATE)} {_ENRICHED} WHERE {_CLOSED}"
-    ),
+    "enriched_market_macro_1m_stream": f"{_with(_TICKS, _RELEASES, _bars(), _STATE)} {_ENRICHED}",
     "serving_bar_minute_stream": f"""{_with(*_EVENT_BARS, _SERVING)}
-SELECT * EXCLUDE (window_start) FROM serving
-WHERE window_start + INTERVAL 1 MINUTE
-      <= (SELECT max(event_time) FROM ticks) - INTERVAL 10 SECOND""",
+SELECT * EXCLUDE (window_start) FROM serving""",
 }
 ORACLES["monitor_recent_bars_stored"] = ORACLES["monitor_recent_bars"]
 ORACLES["dead_letter_split_stream"] = ORACLES["dead_letter_split"]

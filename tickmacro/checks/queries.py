@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickmacro.checks import tables as t
+from tickmacro.functions.envelopes import dry_run_lines
 from tickmacro.operators import bars, daily, enrich, retention, serving, silver, state
 from tickmacro.plans import gold, reports
-from tickmacro.schemas import RELEASE_EVENT, TICK_DEAD_TOPIC, TICK_EVENT, TICK_TOPIC
+from tickmacro.schemas import (
+    RELEASE_DEAD_TOPIC,
+    RELEASE_EVENT,
+    RELEASE_TOPIC,
+    TICK_DEAD_TOPIC,
+    TICK_EVENT,
+    TICK_TOPIC,
+)
 from tickmacro.session import new_dir
 from tickmacro.sources import events as event_sources
-from tickmacro.sources import mock, responses
+from tickmacro.sources import responses
 from tickmacro.sources import tables as table_sources
 from tickmacro.streaming import enrichment, jobs
 
@@ -158,16 +165,45 @@ def finnhub_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses.quotes(t.quote_responses(_events(spark, sf_dir)))
 
 
-MOCK_START_MS = 1_700_000_000_000
+def response_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every response once: a broken one as dead, a good one with what it says."""
+    landed = t.mixed_responses(_events(spark, sf_dir))
+    quoted = responses.split_quotes(landed.where("kind = 'quote'"))
+    listed = responses.split_observations(landed.where("kind = 'observations'"))
+    price = responses.quotes(quoted.where(~F.col("dead")).withColumn("symbol", F.col("key")))
+    value = responses.raw_observations(
+        listed.where(~F.col("dead")).withColumn("series_id", F.col("key"))
+    )
+    good = price.select(F.col("symbol").alias("key"), F.lit("quote").alias("kind"), "price").union(
+        value.select("series_id", F.lit("observations"), F.col("value").cast("double"))
+    )
+    dead = quoted.union(listed).where("dead").select("key", "kind", F.lit(None).cast("double"))
+    return good.withColumn("dead", F.lit(False)).union(dead.withColumn("dead", F.lit(True)))
 
 
-def mock_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One walk per part; small start prices make the floor matter."""
-    symbols = t.read_table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("symbol"),
-        F.col("p_size").cast("double").alias("start_price"),
+def release_dead_letter_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed = event_sources.route_dead_letters(
+        t.mixed_releases(_events(spark, sf_dir)),
+        RELEASE_EVENT,
+        topic=RELEASE_TOPIC,
+        dead_topic=RELEASE_DEAD_TOPIC,
+    )
+    good = F.col("topic") == RELEASE_TOPIC
+    value = F.when(good, F.get_json_object("value", "$.payload.value").cast("double"))
+    return routed.select("key", "topic", value.alias("value"))
+
+
+def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a dry run, read back by path."""
+    envelope = t.tick_envelope()
+    lines = dry_run_lines(_events(spark, sf_dir), envelope, TICK_TOPIC)
+    field = lambda path: F.get_json_object("value", f"$.{path}")
+    return lines.select(
+        field("topic").alias("topic"),
+        field("key").alias("key"),
+        field("event.event_id").alias("event_id"),
+        field("event.payload.price").cast("double").alias("price"),
     )
-    return mock.mock_ticks(symbols, start_ts_ms=MOCK_START_MS, seed=42)
 
 
 # Bars and state
@@ -250,7 +286,7 @@ def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
     built = gold.refresh_gold(
         spark,
-        database=f"market_{uuid.uuid4().hex}",
+        database="market_check",
         location=f"{root}/gold",
         series_id=t.EVENT_SERIES,
         **paths,
@@ -275,8 +311,10 @@ def monitor_recent_bars_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def monitor_close_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _silver_bars(spark, sf_dir)
-    newest = _ticks(spark, sf_dir).agg(F.date_trunc("minute", F.max("event_time"))).scalar()
-    return _rounded(t.as_ntz(reports.close_timeseries(rows, as_of=newest)), "avg_close_price")
+    ms = F.unix_millis("event_time")
+    middle = F.timestamp_millis(F.floor((F.min(ms) + F.max(ms)) / 2))
+    as_of = _ticks(spark, sf_dir).agg(F.date_trunc("minute", middle)).scalar()
+    return _rounded(t.as_ntz(reports.close_timeseries(rows, as_of=as_of)), "avg_close_price")
 
 
 def serving_bar_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,8 +358,10 @@ def changelog_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams: the tables are read as streams, run to their end, and the sink is read.
 
 
-def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_sources.decode_ticks(t.tick_events(_events(spark, sf_dir, streaming=True)))
+def _tick_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """The table in order of time, one part for each micro-batch, with a closing tick."""
+    events = t.parts_in_time(_events(spark, sf_dir), f"{root}/parts")
+    return event_sources.decode_ticks(t.tick_events(events))
 
 
 def _release_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,7 +369,7 @@ def _release_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_bars(spark: SparkSession, sf_dir: str, root: str) -> str:
-    ticks = _tick_stream(spark, sf_dir)
+    ticks = _tick_stream(spark, sf_dir, root)
     jobs.start_bars(ticks, f"{root}/bars", f"{root}/run/bars", trigger=ONCE).awaitTermination()
     return f"{root}/bars"
 
@@ -415,7 +455,9 @@ QUERIES: dict[str, Query] = {
         fred_observations,
         fred_observations_latest,
         finnhub_quotes,
-        mock_ticks,
+        response_dead_letters,
+        release_dead_letter_split,
+        dry_run,
         market_bar_1m,
         market_bar_1h,
         market_bar_true_ohlc,

@@ -6,6 +6,8 @@ years. Every row of a table takes part.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +27,6 @@ SCHEMAS = {
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
     "p_retailprice double",
 }
-TICK_TYPES = ["click", "view", "purchase"]
-RELEASE_TYPES = ["signup", "error"]
 EVENT_SERIES = "error"
 ORDER_SERIES = "N"
 
@@ -55,10 +55,9 @@ def _size() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
-def tick_events(events: DataFrame) -> DataFrame:
-    """(topic, key, value) of the tick rows; id and ingest time are the row's own."""
+def tick_envelope() -> Column:
     at = _epoch_ms("ts")
-    envelope = market_envelope(
+    return market_envelope(
         "events",
         symbol=F.col("event_type"),
         price=F.col("value"),
@@ -67,7 +66,11 @@ def tick_events(events: DataFrame) -> DataFrame:
         event_id=F.col("event_id"),
         ingest_ts_ms=at,
     )
-    return encode_events(events.where(F.col("event_type").isin(TICK_TYPES)), envelope, TICK_TOPIC)
+
+
+def tick_events(events: DataFrame) -> DataFrame:
+    """(topic, key, value) of all rows as ticks; id and ingest time are the row's own."""
+    return encode_events(events, tick_envelope(), TICK_TOPIC)
 
 
 def release_events(events: DataFrame) -> DataFrame:
@@ -83,39 +86,80 @@ def release_events(events: DataFrame) -> DataFrame:
         event_id=F.col("event_id"),
         ingest_ts_ms=at,
     )
-    rows = events.where(F.col("event_type").isin(RELEASE_TYPES))
-    return encode_events(rows, envelope, RELEASE_TOPIC)
+    return encode_events(events, envelope, RELEASE_TOPIC)
 
 
-def mixed_events(events: DataFrame) -> DataFrame:
-    """(key, value) of all rows: ticks, and the other types spoilt.
+def _spoilt(good: Column, wrong_type: Column, timeless: Column, empty: Column) -> Column:
+    """``signup`` rows carry text as a number, ``error`` rows end too early; of the others
+    ids that end in 3 have no time, those in 7 no payload."""
+    last = F.col("event_id") % 10
+    return (
+        F.when(F.col("event_type") == "signup", wrong_type)
+        .when(F.col("event_type") == "error", F.left(good, F.length(good) - 3))
+        .when(last == 3, timeless)
+        .when(last == 7, empty)
+        .otherwise(good)
+    )
+
+
+def mixed_events(events: DataFrame, payload: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(key, value) of all rows as ticks, some of them spoilt.
 
-    ``signup`` rows carry text as price, ``error`` rows end too early.
+    ``payload`` makes the payload of another kind from its number.
     """
-    def event(price: Column) -> Column:
-        return F.to_json(
-            F.struct(
-                F.col("event_id").cast("string").alias("event_id"),
-                _epoch_ms("ts").alias("event_ts_ms"),
-                F.struct(
-                    F.col("event_type").alias("symbol"), price.alias("price"), _size().alias("size")
-                ).alias("payload"),
-            )
+    payload = payload or (
+        lambda price: F.struct(
+            F.col("event_type").alias("symbol"), price.alias("price"), _size().alias("size")
         )
+    )
 
-    good = event(F.col("value"))
-    value = (
-        F.when(F.col("event_type") == "signup", event(F.concat(F.lit("x"), F.col("value"))))
-        .when(F.col("event_type") == "error", F.left(good, F.length(good) - 3))
-        .otherwise(good)
+    def event(number: Column, at: Column | None = _epoch_ms("ts"), full: bool = True) -> Column:
+        fields = [F.col("event_id").cast("string").alias("event_id")]
+        fields += [at.alias("event_ts_ms")] if at is not None else []
+        fields += [payload(number).alias("payload")] if full else []
+        return F.to_json(F.struct(*fields))
+
+    number = F.col("value")
+    value = _spoilt(
+        event(number), event(F.concat(F.lit("x"), number)), event(number, None), event(number, full=False)
     )
     return events.select(F.col("event_id").cast("string").alias("key"), value.alias("value"))
 
 
+def mixed_releases(events: DataFrame) -> DataFrame:
+    """The same as releases."""
+    return mixed_events(
+        events, lambda v: F.struct(F.col("event_type").alias("series_id"), v.alias("value"))
+    )
+
+
+def mixed_responses(events: DataFrame) -> DataFrame:
+    """(key, kind, series_id, symbol, body) of all rows as quote and as observation
+    responses, some of them spoilt: no number, cut off, an error page, no time or date."""
+    day, at = F.date_format("ts", "yyyy-MM-dd"), F.unix_seconds(F.col("ts").cast("timestamp"))
+    quote = lambda **f: F.to_json(F.struct(*[c.alias(k) for k, c in f.items()]))
+    page = F.lit("<html>error</html>")
+    c = F.col("value")
+    quotes = _spoilt(quote(c=c, t=at), quote(c=F.concat(F.lit("x"), c), t=at), quote(c=c), page)
+
+    def listed(**f: Column) -> Column:
+        return F.to_json(F.struct(F.array(F.struct(*[c.alias(k) for k, c in f.items()])).alias("observations")))
+
+    text = c.cast("decimal(18,2)").cast("string")
+    observations = _spoilt(listed(date=day, value=text), F.lit("[1"), listed(value=text), page)
+    both = F.explode(F.create_map(F.lit("quote"), quotes, F.lit("observations"), observations))
+    return events.select(
+        F.col("event_id").cast("string").alias("key"),
+        F.col("event_type").alias("series_id"),
+        F.col("event_type").alias("symbol"),
+        both.alias("kind", "body"),
+    )
+
+
 def event_ticks(events: DataFrame) -> DataFrame:
-    """The tick rows in decoded form, without the way through JSON."""
+    """All rows as ticks in decoded form, without the way through JSON."""
     at = _epoch_ms("ts")
-    return events.where(F.col("event_type").isin(TICK_TYPES)).select(
+    return events.select(
         F.col("event_id").cast("string").alias("event_id"),
         at.alias("event_ts_ms"),
         F.struct(
@@ -129,7 +173,7 @@ def event_ticks(events: DataFrame) -> DataFrame:
 
 def event_releases(events: DataFrame) -> DataFrame:
     at, day = _epoch_ms("ts"), F.date_format("ts", "yyyy-MM-dd")
-    return events.where(F.col("event_type").isin(RELEASE_TYPES)).select(
+    return events.select(
         F.col("event_id").cast("string").alias("event_id"),
         at.alias("event_ts_ms"),
         F.struct(
@@ -217,3 +261,23 @@ def as_ntz(df: DataFrame) -> DataFrame:
             for f in df.schema.fields
         ]
     )
+
+
+def parts_in_time(events: DataFrame, path: str, parts: int = 4, files: int = 8) -> DataFrame:
+    """``events`` as a stream that brings them in order of time, a part for each trigger.
+
+    Parts are equal spans of time, written one after the other in ``files`` files each.
+    A last tick a day later closes all windows before it and is in none that closes.
+    """
+    spark, at = events.sparkSession, _epoch_ms("ts")
+    ends = events.agg(F.min(at).alias("low"), F.max(at).alias("high"))
+    low, high = ends.select("low").scalar(), ends.select("high").scalar()
+    part = F.least(F.lit(parts - 1), F.floor((at - low) * parts / F.greatest(high - low, F.lit(1))))
+    for n in range(parts):
+        events.where(part == n).repartition(files).write.mode("append").parquet(path)
+    closing = events.select(
+        *[F.max(c).alias(c) if c != "ts" else (F.max(c) + F.expr("INTERVAL 1 DAY")).alias(c) for c in events.columns]
+    )
+    closing.write.mode("append").parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files)
+    return stream.parquet(path)

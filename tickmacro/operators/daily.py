@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickmacro.functions.stats import corr_over
 from tickmacro.operators.enrich import DEFAULT_SERIES
+from tickmacro.session import new_dir
 
 FRAME = 30
 
@@ -20,29 +21,42 @@ def market_daily(bars: DataFrame) -> DataFrame:
     )
 
 
-def asof_calendar(releases: DataFrame, series_id: str = DEFAULT_SERIES) -> DataFrame:
-    """The value of one series in force at the end of each day.
+# An instant within its day and an observation date, in one number: 2 ** 18 days
+# around 1970 are told apart, dates beyond count as the first or last of them.
+_DATES = 1 << 18
 
-    One row per calendar day, from the first release to the last. Releases are
-    reduced to one per day before anything is ordered, so the window below sees
-    at most one row per calendar day whatever the size of the series. Among
-    releases at the same instant the newest observation wins, then the greater
-    value.
+
+def release_days(releases: DataFrame, series_id: str = DEFAULT_SERIES) -> DataFrame:
+    """(series_id, from_dt, macro_value, macro_release_ts_utc): the last release of each day.
+
+    Among releases at the same instant the newest observation wins, then the greater
+    value. Instant and observation date are packed into one number, so both steps
+    are hash aggregates over columns of fixed width and nothing is sorted.
     """
-    newest = F.struct("release_ts_utc", "observation_date", "macro_value")
-    days = (
-        releases.where(
-            (F.col("series_id") == series_id) & F.col("release_ts_utc").isNotNull()
-        )
-        .groupBy("series_id", F.to_date("release_ts_utc").alias("from_dt"))
-        .agg(F.max(newest).alias("last"))
+    day = F.to_date("release_ts_utc")
+    date = F.coalesce(F.unix_date("observation_date") + _DATES // 2, F.lit(0))
+    date = F.greatest(F.lit(0), F.least(F.lit(_DATES - 1), date))
+    micros = F.unix_micros("release_ts_utc") - F.unix_micros(day.cast("timestamp"))
+    known = releases.where((F.col("series_id") == series_id) & F.col("release_ts_utc").isNotNull())
+    packed = known.select("series_id", day.alias("from_dt"), (micros * _DATES + date).alias("at"), "macro_value")
+    instants = packed.groupBy("series_id", "from_dt", "at").agg(F.max("macro_value").alias("macro_value"))
+    days = instants.groupBy("series_id", "from_dt").agg(
+        F.max_by("macro_value", "at").alias("macro_value"), F.max("at").alias("at")
     )
+    instant = F.unix_micros(F.col("from_dt").cast("timestamp")) + F.floor(F.col("at") / _DATES)
+    return days.select("series_id", "from_dt", "macro_value", F.timestamp_micros(instant).alias("macro_release_ts_utc"))
+
+
+def asof_calendar(days: DataFrame) -> DataFrame:
+    """The value of one series in force at the end of each day, from ``release_days``.
+
+    One row per calendar day, from the first release to the last. The window sees
+    at most one row per calendar day whatever the size of the series.
+    """
     following = F.lead("from_dt").over(Window.partitionBy("series_id").orderBy("from_dt"))
     until = F.coalesce(F.date_sub(following, 1), "from_dt")
     return days.withColumn("until", until).select(
-        F.explode(F.sequence("from_dt", "until")).alias("asof_dt"),
-        F.col("last.macro_value").alias("macro_value"),
-        F.col("last.release_ts_utc").alias("macro_release_ts_utc"),
+        F.explode(F.sequence("from_dt", "until")).alias("asof_dt"), "macro_value", "macro_release_ts_utc"
     )
 
 
@@ -55,15 +69,20 @@ def align_daily(
     keep NULLs; days after the last one use the last.
 
     The inequality becomes an equality on the day: the calendar holds every day
-    between releases, and later days look up the last. Spark broadcasts the
-    calendar when its size allows and otherwise sorts and merges.
+    between releases, and later days look up the last. The releases are read once:
+    their days, one row for each, are written to the shared folder, and calendar
+    and last day come from there. Spark broadcasts the calendar when its size
+    allows and otherwise sorts and merges.
     """
-    calendar = asof_calendar(releases, series_id)
-    known = releases.where(F.col("series_id") == series_id)
-    last_day = known.agg(F.to_date(F.max("release_ts_utc"))).scalar()
+    spark = releases.sparkSession
+    path = new_dir(spark, "release-days")
+    days = release_days(releases, series_id)
+    days.write.parquet(path)
+    days = spark.read.schema(days.schema).parquet(path)
+    last_day = days.agg(F.max("from_dt")).scalar()
     return (
         daily.withColumn("asof_dt", F.least("dt", last_day))
-        .join(calendar, "asof_dt", "left")
+        .join(asof_calendar(days), "asof_dt", "left")
         .select(
             "symbol",
             "close_price",

@@ -19,11 +19,12 @@ def reject_late(
     late_after: str = LATE_AFTER,
     as_of: Column | datetime | str | None = None,
 ) -> DataFrame:
-    """Drop bars that start more than ``late_after`` before ``as_of``.
+    """Drop bars that start more than ``late_after`` before the hour of ``as_of``.
 
-    On a stream the default ``as_of`` is the time of each micro-batch.
+    The bound moves once an hour. On a stream the default ``as_of`` is the time of
+    each micro-batch.
     """
-    bound = as_of_column(as_of) - F.expr(f"INTERVAL {late_after}")
+    bound = F.date_trunc("hour", as_of_column(as_of)) - F.expr(f"INTERVAL {late_after}")
     return bars.where(F.col("window_start") >= bound)
 
 

@@ -67,14 +67,16 @@ def close_timeseries(
     as_of: Column | datetime | str | None = None,
     rows: int = 1000,
 ) -> DataFrame:
-    """Average close per minute and symbol since ``hours`` before ``as_of``.
+    """Average close per minute and symbol from ``hours`` before ``as_of`` up to it.
 
-    ``dt`` is bounded as well, so a partitioned bar table is read for one or
-    two days only.
+    ``dt`` is bounded on both ends as well, so a partitioned bar table is read for
+    the days of that range only.
     """
-    since = as_of_column(as_of) - F.make_dt_interval(hours=F.lit(hours))
+    until = as_of_column(as_of)
+    since = until - F.make_dt_interval(hours=F.lit(hours))
     return (
-        bars.where((F.col("dt") >= F.to_date(since)) & (F.col("bucket_1m_utc") >= since))
+        bars.where(F.col("dt").between(F.to_date(since), F.to_date(until)))
+        .where(F.col("bucket_1m_utc").between(since, until))
         .groupBy("bucket_1m_utc", "symbol")
         .agg(F.avg("close_price").alias("avg_close_price"))
         .orderBy(F.col("avg_close_price").desc_nulls_last(), "bucket_1m_utc", "symbol")

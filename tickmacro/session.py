@@ -21,6 +21,8 @@ def build_session(app: str = "tickmacro", conf: dict[str, str] | None = None) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Up to this many newest rows a ranked group is cut before the shuffle.
+        .config("spark.sql.optimizer.windowGroupLimitThreshold", "10000")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     )
     for key, value in (conf or {}).items():

@@ -53,10 +53,13 @@ def read_events(
 
 def _decode(raw: DataFrame, schema: StructType, mode: str, keep: tuple[str, ...]) -> DataFrame:
     event = F.from_json(F.col("value"), schema, {"mode": mode})
+    at = instant("event_ts_ms")
+    if mode == "FAILFAST":
+        # A window would drop an event without a time in silence.
+        fault = F.raise_error(F.lit("event without event_ts_ms")).cast("timestamp")
+        at = F.when(F.col("event_ts_ms").isNull(), fault).otherwise(at)
     return (
-        raw.select(*keep, event.alias("event"))
-        .select(*keep, "event.*")
-        .withColumn("event_time", instant("event_ts_ms"))
+        raw.select(*keep, event.alias("event")).select(*keep, "event.*").withColumn("event_time", at)
     )
 
 
@@ -67,8 +70,8 @@ def decode_ticks(
     keep: tuple[str, ...] = (),
     lateness: str = TICK_LATENESS,
 ) -> DataFrame:
-    """Tick events with event time and watermark. Malformed JSON fails the job;
-    run ``route_dead_letters`` first to set it aside."""
+    """Tick events with event time and watermark. Malformed JSON and events without
+    a time fail the job; run ``route_dead_letters`` first to set them aside."""
     return _decode(raw, TICK_EVENT, mode, keep).withWatermark("event_time", lateness)
 
 
@@ -83,11 +86,21 @@ def decode_releases(
     return _decode(raw, RELEASE_EVENT, mode, keep).withWatermark("event_time", lateness)
 
 
+def required_fields(schema: StructType) -> list[str]:
+    """What an event of this schema can't do without: id, time, and the key and value
+    of its payload, the first text and the first number there."""
+    payload = schema["payload"].dataType.fields
+    key = next(f.name for f in payload if f.dataType.typeName() == "string")
+    value = next(f.name for f in payload if f.dataType.typeName() == "double")
+    return ["event_id", "event_ts_ms", f"payload.{key}", f"payload.{value}"]
+
+
 def route_dead_letters(
     raw: DataFrame, schema: StructType, *, topic: str, dead_topic: str
 ) -> DataFrame:
     """Set ``topic`` per row: text that is not JSON of this schema (by syntax
-    or by type) goes to ``dead_topic``, unchanged.
+    or by type), or lacks one of its ``required_fields``, goes to ``dead_topic``,
+    unchanged.
 
     A Kafka sink routes by that column; a file sink partitions by it.
     """
@@ -98,6 +111,8 @@ def route_dead_letters(
     # A column of its own, so that each text is parsed once.
     parsed = raw.withColumn("_event", event)
     malformed = F.col("_event").isNull() | F.col(f"_event.{_CORRUPT}").isNotNull()
+    for field in required_fields(schema):
+        malformed = malformed | F.col(f"_event.{field}").isNull()
     return parsed.withColumn("topic", F.when(malformed, dead_topic).otherwise(topic)).drop("_event")
 
 

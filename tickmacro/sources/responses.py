@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickmacro.functions.times import midnight_ms
 
 MISSING = "."
-_QUOTE = "c string, t string"
+_CORRUPT = "_corrupt_record"
+_QUOTE = f"c string, t string, {_CORRUPT} string"
 _OBSERVATIONS = (
     "observations array<struct<date: string, value: string, "
-    "realtime_start: string, realtime_end: string>>"
+    f"realtime_start: string, realtime_end: string>>, {_CORRUPT} string"
 )
-# Up to this limit Spark cuts a ranked group to its top rows before the shuffle.
-_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def parse_series(csv: str) -> list[str]:
@@ -22,27 +21,63 @@ def parse_series(csv: str) -> list[str]:
     return [part.strip() for part in csv.split(",") if part.strip()]
 
 
+def _quote_parts() -> tuple[Column, Column]:
+    """The parsed quote, and whether the body is broken: no JSON, or no price or time."""
+    q = F.from_json("body", _QUOTE, {"columnNameOfCorruptRecord": _CORRUPT})
+    numbers = q["c"].try_cast("double").isNull() | q["t"].try_cast("bigint").isNull()
+    return q, q.isNull() | q[_CORRUPT].isNotNull() | numbers
+
+
+def _observation_parts() -> tuple[Column, Column]:
+    """The parsed list, and whether the body is broken: no JSON, or a listed observation
+    without a date. A response without a list is whole and lists nothing."""
+    o = F.from_json("body", _OBSERVATIONS, {"columnNameOfCorruptRecord": _CORRUPT})
+    undated = F.exists(F.coalesce(o["observations"], F.array()), lambda x: x["date"].isNull())
+    return o, o.isNull() | o[_CORRUPT].isNotNull() | undated
+
+
+def split_quotes(responses: DataFrame) -> DataFrame:
+    """``responses`` with ``dead``: true where the body can't be read as a quote."""
+    return responses.withColumn("dead", _quote_parts()[1])
+
+
+def split_observations(responses: DataFrame) -> DataFrame:
+    """``responses`` with ``dead``: true where the body can't be read as observations."""
+    return responses.withColumn("dead", _observation_parts()[1])
+
+
+def _or_fail(broken: Column, value: Column, kind: str) -> Column:
+    fault = F.raise_error(F.lit("broken response body; split it off first")).cast(kind)
+    return F.when(broken, fault).otherwise(value)
+
+
 def quotes(responses: DataFrame) -> DataFrame:
     """(symbol, body) rows to (symbol, price, event_ts_ms, size).
 
-    A polled quote has no size, so each counts as 1.
+    A polled quote has no size, so each counts as 1. A broken body fails the job
+    unless ``split_quotes`` has set it aside.
     """
-    return responses.select("symbol", F.from_json("body", _QUOTE).alias("q")).select(
+    q, broken = _quote_parts()
+    return responses.select("symbol", q.alias("q"), broken.alias("broken")).select(
         "symbol",
-        F.col("q.c").cast("double").alias("price"),
-        (F.col("q.t").cast("bigint") * F.lit(1000)).alias("event_ts_ms"),
+        _or_fail(F.col("broken"), F.col("q.c").try_cast("double"), "double").alias("price"),
+        (F.col("q.t").try_cast("bigint") * F.lit(1000)).alias("event_ts_ms"),
         F.lit(1).cast("bigint").alias("size"),
     )
 
 
 def raw_observations(responses: DataFrame, series: list[str] | None = None) -> DataFrame:
-    """(series_id, body) rows to one row per listed observation, still text."""
+    """(series_id, body) rows to one row per listed observation, still text.
+
+    A broken body fails the job unless ``split_observations`` has set it aside.
+    """
     if series is not None:
         responses = responses.where(F.col("series_id").isin(series))
-    body = F.from_json("body", _OBSERVATIONS)
-    return responses.select("series_id", F.explode(body["observations"]).alias("o")).select(
-        "series_id", "o.*"
-    )
+    o, broken = _observation_parts()
+    kind = "array<struct<date: string, value: string, realtime_start: string, realtime_end: string>>"
+    listed = responses.select("series_id", o.alias("o"), broken.alias("broken"))
+    listed = listed.select("series_id", F.explode(_or_fail(F.col("broken"), F.col("o.observations"), kind)).alias("o"))
+    return listed.select("series_id", "o.*")
 
 
 def newest_observations(observations: DataFrame, limit: int, *, salts: int = 64) -> DataFrame:
@@ -50,11 +85,10 @@ def newest_observations(observations: DataFrame, limit: int, *, salts: int = 64)
 
     Every task first cuts a series to its ``limit`` newest rows. Those meet in
     ``salts`` parts per series, are cut again, and only then in one task, which
-    sees ``salts * limit`` rows of a series at most.
+    sees ``salts * limit`` rows of a series at most. The cut before the shuffle
+    holds for limits up to the session's ``windowGroupLimitThreshold``, which
+    ``build_session`` raises; the rows are the same beyond it.
     """
-    spark = observations.sparkSession
-    if int(spark.conf.get(_GROUP_LIMIT)) < limit:
-        spark.conf.set(_GROUP_LIMIT, str(limit))
     newest = [
         F.col(c).desc_nulls_last() for c in ("date", "realtime_start", "realtime_end", "value")
     ]
