@@ -119,9 +119,13 @@ def disclosing(scanned: DataFrame, limits: Disclosure = Disclosure()) -> DataFra
     distinct = near.select("entity", "term", "context").distinct()
     pairs = distinct.groupBy("entity", "term").agg(F.count("*").alias("support"))
     pairs = pairs.where(F.col("support") >= limits.support).select("entity", "term")
-    pairs = staged(pairs, "pairs")
     both = near.join(pairs, ["entity", "term"]).select("entity", "term", "rid").distinct()
     both = both.groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+    # A term has no fewer documents than those where it stands beside an entity, so
+    # common words go before any text is read again.
+    beside = near.select("term", "rid").distinct().groupBy("term").agg(F.count("*").alias("n_beside"))
+    both = both.join(beside, "term").where(F.col("n_both") >= F.col("n_beside") * limits.generalise)
+    pairs = both = staged(both.select("entity", "term", "n_both"), "pairs")
     entities = near.select("entity", "rid").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     terms = staged(pairs.select("term").distinct(), "terms")
     holders = _terms_of(scanned).join(terms, "term").groupBy("term").agg(F.count("*").alias("n_term"))
