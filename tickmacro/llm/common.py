@@ -52,6 +52,36 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
+def _added(values: Column, start: Column) -> Column:
+    """The sums of ``start`` and the values up to each."""
+    step = lambda acc, x: let(
+        acc["sum"] + x, lambda total: F.struct(total.alias("sum"), F.array_append(acc["all"], total).alias("all"))
+    )
+    first = F.struct(start.cast("long").alias("sum"), F.array().cast("array<bigint>").alias("all"))
+    return F.aggregate(values, first, step, lambda acc: acc["all"])
+
+
+def running(values: Column, block: int = 512) -> Column:
+    """Running sums of an array of longs.
+
+    An append copies what is there, so the array is summed in blocks: tens of
+    thousands of values cost little more than their number.
+    """
+
+    def by_block(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda acc, x: acc + x))
+        starts = F.concat(F.array(F.lit(0).cast("long")), _added(sums, F.lit(0)))
+        starts = F.slice(starts, 1, F.size(blocks))
+        return F.flatten(F.zip_with(blocks, starts, _added))
+
+    def cut(v: Column) -> Column:
+        last = F.floor((F.size(v) - 1) / block).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(v, k * block + 1, F.lit(block)))
+        return F.when(F.size(v) > 0, let(blocks, by_block)).otherwise(F.array().cast("array<bigint>"))
+
+    return let(values, cut)
+
+
 def matches(text: Column, kind: str, pattern: str | Column) -> Column:
     """Every leftmost match as a struct of kind, start, end and value.
 
@@ -60,36 +90,24 @@ def matches(text: Column, kind: str, pattern: str | Column) -> Column:
     a long text is read once. ``pattern`` must not match the empty string.
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    lengths = F.zip_with(
-        F.slice(pieces, 1, F.size(found)),
-        found,
-        lambda piece, value: F.struct(
-            F.length(piece).cast("long").alias("gap"), F.length(value).cast("long").alias("len")
-        ),
-    )
-    ends = F.aggregate(
-        lengths,
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<long>").alias("ends")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["len"]).alias("at"),
-            F.array_append(acc["ends"], acc["at"] + x["gap"] + x["len"]).alias("ends"),
-        ),
-        lambda acc: acc["ends"],
-    )
-    spans = F.zip_with(
-        found,
-        ends,
-        lambda value, end: F.struct(
-            F.lit(kind).alias("kind"),
-            (end - F.length(value)).alias("start"),
-            end.alias("end"),
-            value.alias("value"),
-        ),
-    )
+
+    def spans(found: Column) -> Column:
+        pieces = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+        lengths = F.zip_with(pieces, found, lambda piece, value: (F.length(piece) + F.length(value)).cast("long"))
+        return F.zip_with(
+            found,
+            running(lengths),
+            lambda value, end: F.struct(
+                F.lit(kind).alias("kind"),
+                (end - F.length(value)).alias("start"),
+                end.alias("end"),
+                value.alias("value"),
+            ),
+        )
+
     none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,value:string>>")
-    return F.when(F.rlike(text, pattern), spans).otherwise(none)
+    found = F.regexp_extract_all(text, pattern, F.lit(0))
+    return F.when(F.rlike(text, pattern), let(found, spans)).otherwise(none)
 
 
 def spans_text(spans: Column, rank: dict[str, int]) -> Column:

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tickmacro.llm.common import masked, matches, packed, spans_text, staged
 
 #: The forms of personal data. Possessive runs and the bounds at their
-#: start change no match; they keep long texts linear and the stack flat.
+#: start change no match, and a run of too few digits has no longer one inside it; they
+#: keep long texts linear and the stack flat.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
-CARD = r"[0-9](?:[\x20-]?[0-9])++"
+CARD = r"[0-9](?:[\x20-]?[0-9]){13,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 RANKS = {"email": 0, "ip": 1, "card": 2, "phone": 3, "generalise": 4, "remove": 5}
