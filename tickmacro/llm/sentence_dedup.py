@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 from hashlib import md5
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,50 +69,60 @@ def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: lis
     ``key`` hashes the id and the text: a row repeated whole has the key of the
     first and counts as the same document.
     """
-    body = docs[f"`{text}`"].cast("string")
-    named = F.concat_ws("\n", docs[f"`{doc_id}`"].cast("string"), body)
-    return packed(docs, keep or docs.columns, key=F.unhex(F.md5(named.cast("binary"))), id=docs[f"`{doc_id}`"], text=body)
+    body, given = docs[f"`{text}`"].cast("string"), docs[f"`{doc_id}`"]
+    return packed(docs, keep or docs.columns, key=F.xxhash64(given, body), id=given, text=body)
 
 
 def runs(rows: DataFrame, least: int = 2, words: int = 25) -> DataFrame:
-    """(key, id, first, past, h): every span of every text, staged without the texts."""
+    """(key, id, runs), staged: for each text its spans as structs of first and past
+    sentence and the two halves of their hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(batch.num_rows):
-                found = spans(sentences(batch.column(2)[at].as_py() or ""), least, words)
-                if not found:
-                    continue
-                index = pa.array([at] * len(found), pa.int64())
-                first, past, hashes = zip(*found)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(index),
-                        batch.column(1).take(index),
-                        pa.array(first, pa.int32()),
-                        pa.array(past, pa.int32()),
-                        pa.array(hashes, pa.binary()),
-                    ],
-                    ["key", "id", "first", "past", "h"],
-                )
+            sizes, firsts, pasts, hashes = [0], [], [], []
+            for value in batch.column(2):
+                for first, past, digest in spans(sentences(value.as_py() or ""), least, words):
+                    firsts.append(first)
+                    pasts.append(past)
+                    hashes.append(digest)
+                sizes.append(len(firsts))
+            halves = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
+            flat = pa.StructArray.from_arrays(
+                [
+                    pa.array(firsts, pa.int32()),
+                    pa.array(pasts, pa.int32()),
+                    pa.array(np.ascontiguousarray(halves[:, 0])),
+                    pa.array(np.ascontiguousarray(halves[:, 1])),
+                ],
+                ["first", "past", "h1", "h2"],
+            )
+            lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["key", "id", "runs"])
 
     given = rows.select("key", "id", "text")
     id_type = given.schema["id"].dataType.simpleString()
-    return staged(given.mapInArrow(run, f"key binary, id {id_type}, first int, past int, h binary"), "runs")
+    return staged(
+        given.mapInArrow(
+            run, f"key long, id {id_type}, runs array<struct<first: int, past: int, h1: long, h2: long>>"
+        ),
+        "runs",
+    )
 
 
 def repeated(found: DataFrame) -> DataFrame:
     """(key, parts): the sentences of each document that a non-first repeated span covers.
 
     The first span of a hash is that of the smallest id, then key and place; null ids
-    come last. Counts and firsts are aggregated before the shuffle, so a passage in a
-    third of all documents is a few rows for each task; the join back has one row for
-    each hash on one side.
+    come last. Hashes alone are counted first, aggregated before the shuffle, so a
+    passage in a third of all documents is a row for each task; only the spans of
+    hashes met twice go on. The join has one row for each hash on one side.
     """
+    each = found.select("key", "id", F.explode("runs").alias("r")).select("key", "id", "r.*")
+    twice = each.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    again = staged(each.join(staged(twice, "twice"), ["h1", "h2"]), "again")
     order = F.struct(F.col("id").isNull(), "id", "key", "first")
-    firsts = found.groupBy("h").agg(F.min(order).alias("at"), F.max(order).alias("last"))
-    firsts = firsts.where("at <> last").select("h", "at")
-    later = found.join(firsts, "h").where(order != F.col("at"))
+    firsts = again.groupBy("h1", "h2").agg(F.min(order).alias("at"))
+    later = again.join(firsts, ["h1", "h2"]).where(order != F.col("at"))
     covered = later.select("key", F.explode(F.sequence("first", F.col("past") - 1)).alias("part"))
     return covered.distinct().groupBy("key").agg(F.array_sort(F.collect_list("part")).alias("parts"))
 
