@@ -27,7 +27,7 @@ def test_bars_take_one_shuffle_after_a_partial_aggregate(spark, sf_dir):
     plan = _plan(queries.market_bar_1m(spark, sf_dir))
     assert _exchanges(plan) == 1
     assert plan.count("HashAggregate") == 2 and "SortAggregate" not in plan
-    assert "In(event_type" in plan
+    assert "Filter (event_type" not in plan
     assert re.search(r"ReadSchema: struct<ts:\S+,event_type:string,value:double,props:string>", plan)
 
 
@@ -108,3 +108,16 @@ def test_large_limits_are_trimmed_as_well(spark):
     df = spark.range(100_000).select(*[F.col("id").cast("string").alias(c) for c in columns])
     plan = _plan(responses.newest_observations(df, 5000))
     assert plan.count("WindowGroupLimit") == 4
+
+
+def test_alignment_reads_releases_once_and_sorts_none(spark, sf_dir):
+    from tickmacro.checks import tables as t
+    from tickmacro.operators import daily, silver
+
+    shipments = t.shipment_releases(t.read_table(spark, sf_dir, "lineitem"))
+    releases = silver.silver_releases(shipments)
+    days = _plan(daily.release_days(releases, t.ORDER_SERIES))
+    assert "SortAggregate" not in days and days.count("Scan parquet") == 1
+    market = daily.market_daily(silver.silver_bars(queries._bars(spark, sf_dir)))
+    aligned = _plan(daily.align_daily(market, releases, t.ORDER_SERIES))
+    assert "lineitem" not in aligned and "SortAggregate" not in aligned

@@ -9,6 +9,7 @@ from tests.builders import bars
 from tests.conftest import utc
 from tickmacro.operators import retention, serving
 from tickmacro.plans import reports
+from tickmacro.sources import tables
 from tickmacro.schemas import BAR_TOPIC, RETENTION_DAYS, SILVER_BAR, STATE_TOPIC, TICK_TOPIC
 
 NOW = utc("2024-03-31 12:00")
@@ -105,3 +106,29 @@ def test_rankings_put_undefined_last(spark):
     assert [(r[0], r[1]) for r in ranked] == [("C", 0.5), ("B", 0.1), ("A", None)]
     latest = reports.correlation_latest(df, "C", 1).collect()
     assert [r["dt"] for r in latest] == [date(2024, 1, 2)]
+
+
+def test_expired_files_of_external_tables_go_as_well(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    rows = _silver(spark, *[("G", NOW - timedelta(days=d), float(d)) for d in (0, 5, 40)])
+    rows.write.partitionBy("dt").parquet(path)
+    spark.sql("DROP TABLE IF EXISTS expiring_bars")
+    tables.create_external_table(spark, "expiring_bars", SILVER_BAR, path)
+    dropped = retention.drop_expired_partitions(spark, "expiring_bars", 30, NOW.date())
+    assert dropped == [(NOW - timedelta(days=40)).date().isoformat()]
+    tables.refresh_partitions(spark, "expiring_bars")
+    assert spark.table("expiring_bars").count() == tables.silver_bars(spark, path).count() == 2
+    spark.sql("DROP TABLE expiring_bars")
+
+
+def test_retention_refuses_views(spark):
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW gold_view AS SELECT 1 AS x, current_date() AS dt")
+    with pytest.raises(ValueError, match="view"):
+        retention.drop_expired_partitions(spark, "gold_view", 30)
+
+
+def test_the_late_bound_moves_by_the_hour(spark):
+    rows = bars(spark, ("G", NOW - timedelta(hours=2), 1.0), ("G", NOW - timedelta(hours=2, minutes=1), 2.0))
+    for minutes in (0, 59):
+        kept = serving.reject_late(rows, as_of=NOW + timedelta(minutes=minutes))
+        assert [r["close_price"] for r in kept.collect()] == [1.0]

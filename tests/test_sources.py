@@ -97,7 +97,7 @@ def test_decode_fails_on_malformed_events_unless_routed(spark):
     tick = events.decode_ticks(routed.where("topic = 'live'")).first()
     assert (tick["payload"]["price"], tick["event_time"].second) == (1.5, 1)
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
-        events.decode_ticks(raw).collect()
+        events.decode_ticks(raw.where("value = '{bad'")).collect()
 
 
 def test_drop_resent_keeps_one_copy_per_natural_key(spark):
@@ -195,3 +195,18 @@ def test_kafka_options_read_committed_records_from_the_start():
     options = events.kafka_options("broker:9092", "ticks")
     assert options["startingOffsets"] == "earliest"
     assert options["kafka.isolation.level"] == "read_committed"
+
+
+def test_rows_pass_through_keyed_json(spark):
+    from tests.builders import bars
+    from tests.conftest import utc
+    from tickmacro.functions.envelopes import decode_rows, encode_rows
+    from tickmacro.schemas import BAR, BAR_TOPIC, TOPIC_KEYS
+
+    rows = bars(spark, ("G", utc("2024-01-01 00:01"), 1.5), (None, utc("2024-01-01 00:02"), 2.0))
+    sent = encode_rows(rows, BAR_TOPIC, TOPIC_KEYS[BAR_TOPIC])
+    assert json.loads(sent.first()["key"]) == {"symbol": "G", "window_start": "2024-01-01 00:01:00.000"}
+    assert set(json.loads(sent.collect()[1]["value"])) == set(BAR.fieldNames())
+    assert sorted(decode_rows(sent, BAR).collect(), key=str) == sorted(rows.collect(), key=str)
+    with pytest.raises(Exception, match="MALFORMED"):
+        decode_rows(spark.createDataFrame([("{",)], "value string"), BAR).collect()

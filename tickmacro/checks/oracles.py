@@ -285,3 +285,9 @@ SELECT * EXCLUDE (window_start) FROM serving""",
 }
 ORACLES["monitor_recent_bars_stored"] = ORACLES["monitor_recent_bars"]
 ORACLES["dead_letter_split_stream"] = ORACLES["dead_letter_split"]
+ORACLES["curated_bar_events"] = ORACLES["market_bar_1m"]
+ORACLES["state_events"] = ORACLES["macro_latest_state"]
+ORACLES["enriched_events"] = ORACLES["enriched_market_macro_1m"]
+ORACLES["retention_drop"] = ORACLES["retention_keep_days"].replace(
+    "(SELECT CAST(max(event_time) AS DATE) FROM ticks)", "(SELECT max(dt) FROM silver)"
+)

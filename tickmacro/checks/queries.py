@@ -6,18 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickmacro.checks import tables as t
-from tickmacro.functions.envelopes import dry_run_lines
+from tickmacro.functions.envelopes import decode_rows, dry_run_lines, encode_rows
 from tickmacro.operators import bars, daily, enrich, retention, serving, silver, state
 from tickmacro.plans import gold, reports
 from tickmacro.schemas import (
+    ANALYTICS_TOPIC,
+    BAR,
+    BAR_TOPIC,
+    ENRICHED,
+    MACRO_STATE,
     RELEASE_DEAD_TOPIC,
     RELEASE_EVENT,
     RELEASE_TOPIC,
+    SILVER_BAR,
+    STATE_TOPIC,
     TICK_DEAD_TOPIC,
     TICK_EVENT,
     TICK_TOPIC,
+    TOPIC_KEYS,
 )
 from tickmacro.session import new_dir
 from tickmacro.sources import events as event_sources
@@ -355,6 +364,42 @@ def changelog_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.latest_by_key(changelog, ["user_id", "event_type"], "event_id")
 
 
+def _through_json(rows: DataFrame, topic: str, schema: StructType) -> DataFrame:
+    """Rows as keyed JSON events and back; the key must say what the row says."""
+    events = encode_rows(rows, topic, TOPIC_KEYS[topic])
+    key = StructType([f for f in schema if f.name in TOPIC_KEYS[topic]])
+    keys = decode_rows(events.select(F.col("key").alias("value")), key)
+    back = decode_rows(events, schema)
+    return t.as_ntz(back.join(keys.distinct(), TOPIC_KEYS[topic]).select(*schema.fieldNames()))
+
+
+def curated_bar_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through_json(_bars(spark, sf_dir), BAR_TOPIC, BAR)
+
+
+def state_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through_json(macro_latest_state(spark, sf_dir), STATE_TOPIC, MACRO_STATE)
+
+
+def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = enrich.enrich(_bars(spark, sf_dir), macro_latest_state(spark, sf_dir), t.EVENT_SERIES)
+    return _through_json(rows, ANALYTICS_TOPIC, ENRICHED)
+
+
+def retention_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver bars written by day, expired, and read again by table and by path."""
+    path = new_dir(spark, "expiring")
+    _silver_bars(spark, sf_dir).hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
+    table = "market_expiring"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    table_sources.create_external_table(spark, table, SILVER_BAR, path)
+    newest = spark.table(table).agg(F.max("dt")).first()[0]
+    retention.drop_expired_partitions(spark, table, 7, newest)
+    table_sources.refresh_partitions(spark, table)
+    by_table = spark.table(table).select(*SILVER_BAR.fieldNames())
+    return t.as_ntz(by_table.intersectAll(table_sources.silver_bars(spark, path)))
+
+
 # Streams: the tables are read as streams, run to their end, and the sink is read.
 
 
@@ -483,6 +528,10 @@ QUERIES: dict[str, Query] = {
         retention_keep,
         retention_keep_days,
         changelog_compact,
+        curated_bar_events,
+        state_events,
+        enriched_events,
+        retention_drop,
         market_bar_1m_stream,
         silver_market_bar_1m_stream,
         silver_macro_release_stream,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SCHEMA_VERSION = "v1"
 
@@ -92,3 +93,27 @@ def dry_run_lines(df: DataFrame, envelope: Column, topic: str) -> DataFrame:
             {"ignoreNullFields": "false"},
         ).alias("value")
     )
+
+
+# Instants as text, to the millisecond and in UTC, in the form SQL writes them.
+_INSTANTS = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSS"}
+
+
+def encode_rows(rows: DataFrame, topic: str, key: list[str]) -> DataFrame:
+    """(topic, key, value): table rows as JSON events, ready for any sink.
+
+    The key is a JSON object of the key columns, so a compacted topic keeps the
+    last row of each key and all rows of a key share a partition.
+    """
+    return rows.select(
+        F.lit(topic).alias("topic"),
+        F.to_json(F.struct(*key), _INSTANTS).alias("key"),
+        F.to_json(F.struct("*"), {"ignoreNullFields": "false", **_INSTANTS}).alias("value"),
+    )
+
+
+def decode_rows(raw: DataFrame, schema: StructType) -> DataFrame:
+    """The rows that ``encode_rows`` has written, by their declared schema; text that
+    is not such a row fails the job."""
+    row = F.from_json("value", schema, {"mode": "FAILFAST", **_INSTANTS})
+    return raw.select(row.alias("r")).select("r.*")

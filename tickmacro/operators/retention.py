@@ -59,13 +59,31 @@ def drop_expired_partitions(
 ) -> list[str]:
     """Drop the day partitions older than ``days``; returns the dropped days.
 
-    Only partition names reach the driver, one per stored day.
+    The files of an external table go as well: dropping its partition would leave
+    them, and the next discovery would bring the day back. A view, such as a gold
+    table's, is refused; expire its input and refresh it. Only partition names reach
+    the driver, one per stored day.
     """
     today = as_of or datetime.now(timezone.utc).date()
     oldest = (today - timedelta(days=_check_days(days))).isoformat()
+    kind = spark.catalog.getTable(table).tableType
+    if kind in ("VIEW", "TEMPORARY"):
+        raise ValueError(f"{table} is a view; expire the table it is built from and refresh it")
     names = (row["partition"] for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator())
     stored = sorted({name.split(f"{day_col}=", 1)[1].split("/", 1)[0] for name in names})
     expired = [day for day in stored if day < oldest]
+    if expired and kind == "EXTERNAL":
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+        location = described.first()["data_type"].rstrip("/")
     for day in expired:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day_col} = '{day}')")
+        if kind == "EXTERNAL":
+            _delete(spark, f"{location}/{day_col}={day}")
     return expired
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder wherever it lies, by the file system of its path."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

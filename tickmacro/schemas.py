@@ -116,6 +116,12 @@ STATE_TOPIC = "state.macro.latest.v1"
 ANALYTICS_TOPIC = "analytics.market_macro.1m.v1"
 TICK_DEAD_TOPIC = "dlq.raw.market.finnhub.tick.v1"
 RELEASE_DEAD_TOPIC = "dlq.raw.macro.fred.release.v1"
+# What each keyed topic is keyed by.
+TOPIC_KEYS = {
+    BAR_TOPIC: ["symbol", "window_start"],
+    STATE_TOPIC: ["series_id"],
+    ANALYTICS_TOPIC: ["symbol", "window_start", "series_id"],
+}
 RETENTION_DAYS = {
     TICK_TOPIC: 7,
     RELEASE_TOPIC: 365,

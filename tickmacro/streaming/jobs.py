@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tickmacro.functions.envelopes import encode_rows
 from tickmacro.operators import bars as bar_ops
 from tickmacro.operators import serving, silver, state
-from tickmacro.schemas import MACRO_STATE, ROUTED_EVENT
+from tickmacro.schemas import BAR_TOPIC, MACRO_STATE, ROUTED_EVENT, TOPIC_KEYS
 
 COMMIT_INTERVAL = {"processingTime": "30 seconds"}
 BATCH = "batch_id"
@@ -75,6 +76,16 @@ def start_bars(
     return start_append(bar_ops.build_bars(ticks, interval), path, checkpoint, **sink)
 
 
+def start_bar_events(
+    ticks: DataFrame, path: str | None, checkpoint: str, *, interval: str = "1 minute", **sink
+) -> StreamingQuery:
+    """Closed bars as keyed JSON events, for Kafka or, in a folder per topic, files."""
+    events = encode_rows(bar_ops.build_bars(ticks, interval), BAR_TOPIC, TOPIC_KEYS[BAR_TOPIC])
+    if path is None:
+        return start_append(events, path, checkpoint, **sink)
+    return start_routed(events, path, checkpoint, **sink)
+
+
 def start_silver_bars(bars: DataFrame, path: str, checkpoint: str, **sink) -> StreamingQuery:
     return start_append(
         silver.silver_bars(bars), path, checkpoint, partition_by=["dt"], **sink
