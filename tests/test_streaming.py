@@ -156,9 +156,30 @@ def test_streamed_state_is_the_last_arrival_and_compacts(spark, tmp_path):
     )
     _same(jobs.read_macro_state(spark, path), want)
     assert jobs.read_changelog(spark, path, MACRO_STATE).count() > 2
-    compacted = jobs.compact(jobs.read_macro_state(spark, path), f"{tmp_path}/compacted")
-    _same(compacted, want)
-    assert compacted.count() == 2
+    before = jobs.read_changelog(spark, path, MACRO_STATE).count()
+    assert jobs.compact_changelog(spark, path, MACRO_STATE, ["series_id"]) is not None
+    assert jobs.compact_changelog(spark, path, MACRO_STATE, ["series_id"]) is None
+    _same(jobs.read_macro_state(spark, path), want)
+    assert jobs.read_changelog(spark, path, MACRO_STATE).count() < before
+
+
+def test_a_compacted_changelog_goes_on_and_does_not_grow(spark, tmp_path):
+    path, want = str(tmp_path / "log"), {}
+    folders = []
+    for n in range(7):
+        rows = [("A", float(n), n), (f"S{n % 3}", float(10 * n), n)]
+        batch = spark.createDataFrame(rows, MACRO_STATE)
+        want |= {r[0]: r[1] for r in rows}
+        jobs.write_batch(batch, path, n)
+        if n == 3:
+            # Broken off: no base to be seen.
+            (tmp_path / "log" / "_base" / "upto=9").mkdir(parents=True, exist_ok=True)
+        jobs.compact_changelog(spark, path, MACRO_STATE, ["series_id"])
+        jobs.write_batch(batch, path, n)  # the newest batch, repeated
+        folders.append(len(list((tmp_path / "log").glob("batch_id=*"))))
+        latest = jobs.read_macro_state(spark, path).collect()
+        assert {r["series_id"]: r["macro_value"] for r in latest} == want
+    assert max(folders[2:]) <= 3
 
 
 class _Feed:

@@ -359,9 +359,19 @@ def retention_keep_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changelog_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as a changelog of (user, type), reduced to the last of each."""
-    changelog = _events(spark, sf_dir).select("user_id", "event_type", "event_id", "value", "props")
-    return state.latest_by_key(changelog, ["user_id", "event_type"], "event_id")
+    """All events as a changelog of (user, type) in four batches, compacted after each
+    of the last two, and read as the last of each key."""
+    keys = ["user_id", "event_type"]
+    changes = _events(spark, sf_dir).select(*keys, "event_id", "value", "props")
+    path, batches = new_dir(spark, "changelog"), 4
+    ends = changes.agg(F.max("event_id").alias("e")).scalar() + 1
+    for n in range(batches):
+        part = changes.where(F.floor(F.col("event_id") * batches / ends) == n)
+        jobs.write_batch(state.latest_by_key(part, keys, "event_id"), path, n)
+        if n >= batches - 2:
+            jobs.compact_changelog(spark, path, changes.schema, keys)
+    rows = jobs.read_changelog(spark, path, changes.schema)
+    return state.latest_by_key(rows, keys, jobs.BATCH, changes.columns[2:])
 
 
 def _through_json(rows: DataFrame, topic: str, schema: StructType) -> DataFrame:

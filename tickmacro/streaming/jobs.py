@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -16,6 +17,8 @@ from tickmacro.schemas import BAR_TOPIC, MACRO_STATE, ROUTED_EVENT, TOPIC_KEYS
 
 COMMIT_INTERVAL = {"processingTime": "30 seconds"}
 BATCH = "batch_id"
+# Spark does not read folders of such names with the batches beside them.
+_BASE = "_base"
 
 
 def start_append(
@@ -141,9 +144,57 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def read_changelog(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All changelog rows with their ``batch_id``; a filter on it prunes folders."""
+    """All changelog rows with their ``batch_id``; a filter on it prunes folders.
+
+    They are the newest base, if the changelog was compacted, and the batches after it.
+    """
     stored = StructType([*schema.fields, StructField(BATCH, LongType())])
-    return spark.read.schema(stored).parquet(path)
+    tail, bases = spark.read.schema(stored).parquet(path), _numbers(spark, f"{path}/{_BASE}", "upto")
+    if not bases:
+        return tail
+    base = spark.read.schema(stored).parquet(f"{path}/{_BASE}/upto={bases[-1]}")
+    return base.unionByName(tail.where(F.col(BATCH) > bases[-1]))
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _numbers(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """The numbers of the finished folders ``name=number``, in order."""
+    files, path = _file_system(spark, folder)
+    if not files.exists(path):
+        return []
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    found = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().startswith(f"{name}=")]
+    return sorted(int(p.getName().split("=")[1]) for p in found if files.exists(new(p, "_SUCCESS")))
+
+
+def compact_changelog(
+    spark: SparkSession, path: str, schema: StructType, keys: list[str], version: str | Column = BATCH
+) -> int | None:
+    """Fold all batches but the newest into a base with the last version of each key.
+
+    Returns the last batch in the base, None if there was nothing to fold. The stream
+    may go on meanwhile: it writes new batches, and may repeat the newest one, which
+    stays out. What the base before this one held goes only now, so readers that
+    listed it have had a whole round to finish; what is read does not grow with
+    history. A compaction that broke off leaves no finished base and is run again.
+    """
+    batches, bases = _numbers(spark, path, BATCH), _numbers(spark, f"{path}/{_BASE}", "upto")
+    if len(batches) < 2 or (bases and batches[-2] <= bases[-1]):
+        return None
+    upto = batches[-2]
+    rows = read_changelog(spark, path, schema).where(F.col(BATCH) <= upto)
+    columns = [c for c in [*schema.fieldNames(), BATCH] if c not in keys]
+    state.latest_by_key(rows, keys, version, columns).write.mode("overwrite").parquet(f"{path}/{_BASE}/upto={upto}")
+    old = bases[-1] if bases else -1
+    gone = [f"{path}/{BATCH}={n}" for n in batches if n <= old] + [f"{path}/{_BASE}/upto={n}" for n in bases[:-1]]
+    for folder in gone:
+        files, where = _file_system(spark, folder)
+        files.delete(where, True)
+    return upto
 
 
 def read_batch(spark: SparkSession, path: str, schema: StructType, batch_id: int) -> DataFrame:
@@ -199,13 +250,3 @@ def read_macro_state(spark: SparkSession, path: str) -> DataFrame:
     return state.latest_by_key(
         changes, ["series_id"], BATCH, ["macro_value", "release_ts_ms"]
     )
-
-
-def compact(latest: DataFrame, path: str) -> DataFrame:
-    """Write the newest version of each key to a new folder and read it back.
-
-    ``latest`` is the read side of a changelog. The changelog is left as it is;
-    point readers at the new folder, then drop it.
-    """
-    latest.write.mode("errorifexists").parquet(path)
-    return latest.sparkSession.read.schema(latest.schema).parquet(path)
