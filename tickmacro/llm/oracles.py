@@ -184,11 +184,12 @@ per AS (
   FROM folds JOIN rated USING (rid) WHERE fold = 0 GROUP BY step
 ),
 cuts AS (
-  SELECT step, sum(y) OVER (ORDER BY step) / nullif(sum(y) OVER (), 0) AS wrong,
+  SELECT step, floor((step + coalesce(lead(step) OVER (ORDER BY step), step)) / 2) AS halfway,
+         sum(y) OVER (ORDER BY step) / nullif(sum(y) OVER (), 0) AS wrong,
          sum(n) OVER (ORDER BY step) / nullif(sum(n) OVER (), 0) AS reject FROM per
 ),
 cut AS (
-  SELECT step AS cut FROM cuts WHERE wrong <= 0.01 AND reject IS NOT NULL ORDER BY reject - wrong DESC, step LIMIT 1
+  SELECT halfway AS cut FROM cuts WHERE wrong <= 0.01 AND reject IS NOT NULL ORDER BY reject - wrong DESC, step LIMIT 1
 )
 SELECT page_id, host, path, rule,
        CASE WHEN coalesce(allowed, NOT coalesce(step <= (SELECT cut FROM cut), false)) THEN 'allow' ELSE 'block' END AS verdict

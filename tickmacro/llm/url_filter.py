@@ -128,7 +128,8 @@ def calibrate(held: DataFrame, false_rejects: float = 0.01) -> DataFrame:
     """One row (cut) from held-out (step, allowed): URLs at or below are rejected.
 
     Of the cuts that reject no more than ``false_rejects`` of the accepted URLs, the
-    one that tells both kinds apart best, the lowest of equals. The steps are bounded,
+    one that tells both kinds apart best, the lowest of equals, moved halfway to the
+    next step that was seen. The steps are bounded,
     so the running sums are over a fixed number of rows at most.
     """
     per = held.groupBy("step").agg(
@@ -136,10 +137,13 @@ def calibrate(held: DataFrame, false_rejects: float = 0.01) -> DataFrame:
     )
     upto, all_rows = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
     share = lambda c: F.try_divide(F.sum(c).over(upto), F.sum(c).over(all_rows))
-    cuts = per.select("step", share("y").alias("wrong"), share("n").alias("right"))
+    next_step = F.lead("step").over(Window.orderBy("step"))
+    halfway = F.floor((F.col("step") + F.coalesce(next_step, "step")) / 2).alias("halfway")
+    cuts = per.select("step", halfway, share("y").alias("wrong"), share("n").alias("right"))
     cuts = cuts.where((F.col("wrong") <= false_rejects) & F.col("right").isNotNull())
-    best = cuts.agg(F.max(F.struct(F.col("right") - F.col("wrong"), -F.col("step"))).alias("best"))
-    return staged(best.select((-F.col("best.col2")).alias("cut")).where("cut is not null"), "cut")
+    order = F.struct((F.col("right") - F.col("wrong")).alias("gain"), (-F.col("step")).alias("low"), "halfway")
+    best = cuts.agg(F.max(order).alias("best"))
+    return staged(best.select(F.col("best.halfway").alias("cut")).where("cut is not null"), "cut")
 
 
 def filter_urls(
