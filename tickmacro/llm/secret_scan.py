@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickmacro.llm.common import let, matches, packed, spans_text, staged
+from tickmacro.llm.common import let, masked, matches, packed, spans_text, staged
 
 #: The forms of secrets that are found by pattern.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -113,5 +113,12 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     return rated.select("row", "base", F.concat("base", random).alias("spans"))
 
 
+def redact(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with every secret replaced by ``[secret]``."""
+    found, body = find_secrets(docs, text), F.col(f"row.`{text}`")
+    clean = F.when(F.size("spans") > 0, masked(body, F.col("spans"), dict.fromkeys(RANKS, "[secret]")))
+    return found.select(*[clean.otherwise(body).alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])
+
+
 def digest(spans: Column) -> Column:
     return spans_text(spans, RANKS)
