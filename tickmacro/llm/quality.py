@@ -64,14 +64,16 @@ def _repeat_words(tokens: Column) -> Column:
     return F.when(n >= WINDOW, let(hashes, count)).otherwise(0)
 
 
-def measure(
+def measured(
     docs: DataFrame, text: str = "text", stratum: str = "lang", keep: list[str] | None = None
 ) -> DataFrame:
-    """``docs`` as (row, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, rules...), staged, since cutoffs and verdicts both read it.
+    """``docs`` as (row, rid, stratum, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, base_failed, rules...).
 
     A null text has no words, a null stratum is one of its own. All counting is done
     in arrays inside the row, so a long text costs its length and nothing is shuffled.
+    ``rid`` also keeps later filters from being pushed below, where they would count
+    once more for each measure they name.
     """
     rows = packed(
         docs, keep or docs.columns, text=F.coalesce(docs[f"`{text}`"], F.lit("")), stratum=docs[f"`{stratum}`"]
@@ -116,7 +118,12 @@ def measure(
         share(chars, n_words).alias("word_length"),
         share(F.col("n_upper"), chars).alias("capitals"),
     )
-    return staged(out, "measured")
+    return out.withColumn("rid", F.monotonically_increasing_id())
+
+
+def measure(docs: DataFrame, keep: list[str], text: str = "text", stratum: str = "lang") -> DataFrame:
+    """``measured`` with the columns ``keep`` of each row, staged."""
+    return staged(measured(docs, text, stratum, keep), "measured")
 
 
 def binomial_cdf(x: Column, n: Column, p: float) -> Column:
@@ -132,7 +139,7 @@ def binomial_cdf(x: Column, n: Column, p: float) -> Column:
     return F.aggregate(rest, first, step, lambda acc: acc["sum"])
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, doc_id: str = "doc_id", risk: Risk = Risk()) -> DataFrame:
+def cutoffs(rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id", risk: Risk = Risk()) -> DataFrame:
     """(stratum, one column for each rule): the lowest cutoff certified, null if none is.
 
     Held out are all labelled good documents that pass the base rules; a document
@@ -146,7 +153,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, doc_id: str = "doc_id", risk
     rate = risk.false_rejects / len(RULES)
     tried = sum(len(grid) for grid in RULES.values())
     good = labels.groupBy("doc_id").agg(F.max("quality").alias("quality")).where("quality = 1")
-    passed = measured.where(~F.col("base_failed"))
+    passed = rows.where(~F.col("base_failed"))
     held = passed.withColumn("doc_id", F.col(f"row.`{doc_id}`")).drop("row")
     held = held.join(good, "doc_id", "left_semi")
     cells = [(rule, cut) for rule, grid in RULES.items() for cut in grid]
@@ -165,9 +172,9 @@ def cutoffs(measured: DataFrame, labels: DataFrame, doc_id: str = "doc_id", risk
     return staged(sure.groupBy("stratum").agg(*lowest), "cutoffs")
 
 
-def judge(measured: DataFrame, certified: DataFrame) -> DataFrame:
-    """``measured`` with ``kept``: false if the base rules or a certified cutoff reject."""
+def judge(rows: DataFrame, certified: DataFrame) -> DataFrame:
+    """``measured`` rows with ``kept``: false if the base rules or a certified cutoff reject."""
     certified = certified.withColumnRenamed("stratum", "of")
-    joined = measured.join(certified, F.col("stratum").eqNullSafe(F.col("of")), "left")
+    joined = rows.join(certified, F.col("stratum").eqNullSafe(F.col("of")), "left")
     rejects = [F.coalesce(F.col(rule) > F.col(f"cut_{rule}"), F.lit(False)) for rule in RULES]
     return joined.withColumn("kept", ~F.col("base_failed") & ~reduce(or_, rejects))
