@@ -21,6 +21,8 @@ END = b"\n"
 _START = 0xFFFF
 #: Distinct words a task counts before it hands them on.
 _FLUSH = 200_000
+#: Texts that a task works on at once.
+_ROWS = 1024
 
 
 @dataclass(frozen=True)
@@ -80,6 +82,13 @@ def vocabulary(rows: DataFrame) -> DataFrame:
     return staged(found.groupBy("token").agg(F.sum("n").alias("c")), "vocabulary")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, which bound what a task holds at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(at, _ROWS)
+
+
 def _counted(counts: Counter[bytes]) -> pa.RecordBatch:
     arrays = [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())]
     return pa.RecordBatch.from_arrays(arrays, ["token", "n"])
@@ -103,8 +112,17 @@ class Words:
 def known_words(vocab: DataFrame, shape: Shape) -> Words:
     """The totals and the ``head`` most frequent words: bounded by ``shape``."""
     total = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    head = vocab.orderBy(F.desc("c"), "token").limit(shape.head).collect()
-    counts = {bytes(r["token"]): r["c"] for r in head}
+    # Counts fall into fixed bins; the head is all words of as many top bins as fit.
+    step = F.floor(F.log2("c") * 8).cast("int")
+    left, lowest = shape.head, None
+    for r in vocab.groupBy(step.alias("bin")).agg(F.count("*").alias("v")).orderBy(F.desc("bin")).collect():
+        left -= r["v"]
+        if left < 0:
+            break
+        lowest = r["bin"]
+    head = [] if lowest is None else vocab.where(step >= lowest).collect()
+    head = sorted(((bytes(r["token"]), r["c"]) for r in head), key=lambda x: (-x[1], x[0]))
+    counts = dict(head)
     units = {token: unit for unit, token in enumerate(list(counts)[: shape.own_units])}
     unit = F.crc32("token") % shape.width
     rest = vocab.groupBy(unit.alias("unit")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
@@ -132,14 +150,14 @@ def encode(rows: DataFrame, words: Words, shape: Shape) -> DataFrame:
         counts, units, width, own = w.counts, w.units, shape.width, shape.own_units
         base = {t: w.base(c) for t, c in counts.items()}
         inner = {t: _inside(w, crc32(t) % width, c) for t, c in counts.items() if t not in units}
-        for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
+        for batch in _slices(batches):
+            out: list[list] = [[] for _ in range(6)]
+            rest_tokens, rest_counts, rest_ends = [], [], [0]
             for value in batch.column(3).cast(pa.binary()):
                 tokens = tokens_of(value.as_py())
                 hashes = np.fromiter(map(crc32, tokens), np.uint32, len(tokens))
                 found = np.fromiter((units.get(t, -1) for t in tokens), np.int32, len(tokens))
                 unit = np.where(found >= 0, found, own + (hashes % width).astype(np.int32))
-                rest: Counter[bytes] = Counter()
                 known, alone, within = 0, 0.0, 0.0
                 for token, n in Counter(tokens).items():
                     if token in base:
@@ -147,7 +165,9 @@ def encode(rows: DataFrame, words: Words, shape: Shape) -> DataFrame:
                         alone += n * base[token]
                         within += n * inner.get(token, 0.0)
                     else:
-                        rest[token] = n
+                        rest_tokens.append(token)
+                        rest_counts.append(n)
+                rest_ends.append(len(rest_tokens))
                 cells = (
                     len(tokens),
                     known,
@@ -155,14 +175,15 @@ def encode(rows: DataFrame, words: Words, shape: Shape) -> DataFrame:
                     within,
                     unit.astype("<u2").tobytes(),
                     (hashes & 0xFFFF).astype("<u2").tobytes(),
-                    [{"token": t, "n": n} for t, n in rest.items()],
                 )
                 for column, cell in zip(out, cells):
                     column.append(cell)
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary())
             arrays = [batch.column(k) for k in range(3)]
             arrays += [pa.array(column, kind) for column, kind in zip(out, kinds)]
-            arrays.append(pa.array(out[6], pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))))
+            pairs = [pa.array(rest_tokens, pa.binary()), pa.array(rest_counts, pa.int64())]
+            rest = pa.StructArray.from_arrays(pairs, ["token", "n"])
+            arrays.append(pa.ListArray.from_arrays(pa.array(rest_ends, pa.int32()), rest))
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     names = ["row", "rid", "held", "n_tokens", "known", "base", "inner", "units", "hashes", "rest"]
@@ -237,9 +258,7 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
 
 def _streams(batches: Iterator[pa.RecordBatch], units: int, hashes: int) -> Iterator[tuple]:
     """Batches of texts as (batch, unit numbers, word hashes, where texts begin)."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in _slices(batches):
         flat = [np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2") for k in (units, hashes)]
         lengths = np.array([len(x.as_py()) // 2 for x in batch.column(units)], np.int64)
         starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
