@@ -103,5 +103,6 @@ def mixed(docs: DataFrame, **names: str) -> DataFrame:
     sizes = sized(docs, **names)
     taken = take(sizes.drop("row")).where("taken > 0")
     times = taken.select("rid", F.ceil(F.col("taken") / F.col("size")).cast("int").alias("times"))
-    rows = sizes.select("rid", "row").join(staged(times, "times"), "rid")
+    # Both sides are dealt by row number at every size, the texts evenly.
+    rows = sizes.select("rid", "row").join(staged(times, "times").hint("merge"), "rid")
     return rows.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select("row.*")
