@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from hashlib import md5
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -13,35 +14,68 @@ from pyspark.sql import functions as F
 
 from tickmacro.llm.common import packed, staged
 
-_SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]*\s*")
+#: Full stops of Latin, Chinese, Japanese, Indic, Arabic, Armenian and Ethiopic texts, and line breaks.
+_STOPS = r".!?\n\u3002\uFF01\uFF1F\uFF61\uFF0E\u2026\u061F\u06D4\u0964\u0965\u0589\u1362"
 
+#: Scripts written without spaces: Thai to Myanmar, Khmer, Tai, Balinese, kana, Han, Yi, Javanese.
+_UNSPACED = (
+    r"\u0E00-\u109F\u1780-\u17FF\u1950-\u19DF\u1A20-\u1AAF\u1B00-\u1B7F\u3005-\u3007\u3040-\u30FF"
+    r"\u31F0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF\uA000-\uA4CF\uA980-\uA9DF\uF900-\uFAFF\uFF66-\uFF9F"
+    r"\U00020000-\U0003FFFF"
+)
 
-def sentences(text: str, longest: int = 24, piece: int = 12) -> list[tuple[int, int, str]]:
-    """(start, end, normal form) of the sentences of a text, which they cover whole.
+_SENTENCE = re.compile(rf"[^{_STOPS}]*[{_STOPS}]*\s*")
+_WORD = re.compile(rf"[{_UNSPACED}]|[^\s{_STOPS}{_UNSPACED}]+")
 
-    A sentence ends with a run of ``.``, ``!``, ``?`` or line breaks and the spaces
-    after it. One of more than ``longest`` words is cut into pieces of ``piece`` words
-    from its start, so that a long passage without full stops has parts as well. The
+
+#: Mixes the hashes of words, modulo 2^64.
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def sentences(text: str, window: int = 6, shingle: int = 2) -> list[tuple[int, int, str]]:
+    """(start, end, normal form) of the parts of the sentences of a text, which they cover whole.
+
+    A sentence ends with a run of full stops or line breaks and the spaces after it.
+    It is cut before each word whose hash, with that of the next, is the least of
+    ``window`` in a row within the sentence. Cuts depend on the words around them alone
+    and are at most ``window + shingle - 1`` words apart, so a passage is cut alike
+    wherever it begins. Every character of a script without spaces is a word. The
     normal form has single spaces and no upper case.
     """
-    out = []
-    for found in _SENTENCE.finditer(text):
-        start, end = found.span()
-        if start == end:
-            continue
-        tokens = found.group().split()
-        if len(tokens) <= longest:
-            out.append((start, end, " ".join(tokens).lower()))
-            continue
-        ends = [start + m.end() for m in re.finditer(r"\S+\s*", text[start:end])]
-        for at in range(0, len(tokens), piece):
-            last = min(at + piece, len(tokens))
-            stop = end if last == len(tokens) else ends[last - 1]
-            out.append((start, stop, " ".join(tokens[at:last]).lower()))
-            start = stop
+    ends = [m.end() for m in _SENTENCE.finditer(text) if m.end() > m.start()]
+    if not ends:
+        return []
+    lower = text.lower()
+    forms = lower if len(lower) == len(text) else None  # else places differ
+    starts = np.array([m.start() for m in _WORD.finditer(text)], np.int64)
+    cuts = set(ends)
+    if len(starts) >= window + shingle - 1:
+        tokens = _WORD.findall(forms) if forms is not None else [w.lower() for w in _WORD.findall(text)]
+        each = np.array([crc32(w.encode("utf-8", "surrogatepass")) for w in tokens], np.uint64)
+        hashes = np.zeros(len(each) - shingle + 1, np.uint64)
+        for k in range(shingle):
+            hashes = (hashes + each[k : k + len(hashes)]) * _FACTOR
+        of = np.searchsorted(ends, starts, side="right")
+        inside = of[: len(hashes) - window + 1] == of[window + shingle - 2 :]
+        least = np.arange(len(inside)) + np.lib.stride_tricks.sliding_window_view(hashes, window).argmin(axis=1)
+        chosen = np.unique(least[inside])
+        within = chosen[(chosen > 0) & (of[chosen] == of[chosen - 1])]
+        cuts.update(starts[within].tolist())
+    out, start = [], 0
+    for stop in sorted(cuts):
+        form = text[start:stop].lower() if forms is None else forms[start:stop]
+        out.append((start, stop, " ".join(form.split())))
+        start = stop
     return out
 
 
+def _count(form: str) -> int:
+    """The words of a normal form."""
+    if form.isascii():
+        return form.count(" ") + 1 if form else 0
+    return len(_WORD.findall(form))
+
+
 def spans(parts: list[tuple[int, int, str]], least: int = 2, words: int = 25) -> list[tuple[int, int, bytes]]:
     """(first, past, hash) of the run that begins at each sentence: the shortest one of
     ``least`` sentences or more with ``words`` words or more, where there is one.
@@ -49,7 +83,8 @@ def spans(parts: list[tuple[int, int, str]], least: int = 2, words: int = 25) ->
     The run depends on what follows its start alone, so a passage gives the same runs
     wherever it stands. The hash has 128 bits.
     """
-    counts = [p[2].count(" ") + 1 if p[2] else 0 for p in parts]
+    forms = [p[2] for p in parts]
+    counts = [_count(form) for form in forms]
     out, past, total = [], 0, 0
     for first in range(len(parts)):
         while past < len(parts) and (total < words or past - first < least):
@@ -57,7 +92,7 @@ def spans(parts: list[tuple[int, int, str]], least: int = 2, words: int = 25) ->
             past += 1
         if total < words or past - first < least:
             break
-        joined = "\n".join(p[2] for p in parts[first:past])
+        joined = "\n".join(forms[first:past])
         out.append((first, past, md5(joined.encode("utf-8", "surrogatepass")).digest()))
         total -= counts[first]
     return out
@@ -74,14 +109,16 @@ def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: lis
 
 
 def runs(rows: DataFrame, least: int = 2, words: int = 25) -> DataFrame:
-    """(key, id, runs), staged: for each text its spans as structs of first and past
-    sentence and the two halves of their hash."""
+    """(key, id, n, runs), staged: for each text the number of its parts, and its spans as
+    structs of first and past part and the two halves of their hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, firsts, pasts, hashes = [0], [], [], []
+            counts, sizes, firsts, pasts, hashes = [], [0], [], [], []
             for value in batch.column(2):
-                for first, past, digest in spans(sentences(value.as_py() or ""), least, words):
+                parts = sentences(value.as_py() or "")
+                counts.append(len(parts))
+                for first, past, digest in spans(parts, least, words):
                     firsts.append(first)
                     pasts.append(past)
                     hashes.append(digest)
@@ -97,13 +134,15 @@ def runs(rows: DataFrame, least: int = 2, words: int = 25) -> DataFrame:
                 ["first", "past", "h1", "h2"],
             )
             lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["key", "id", "runs"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), lists], ["key", "id", "n", "runs"]
+            )
 
     given = rows.select("key", "id", "text")
     id_type = given.schema["id"].dataType.simpleString()
     return staged(
         given.mapInArrow(
-            run, f"key long, id {id_type}, runs array<struct<first: int, past: int, h1: long, h2: long>>"
+            run, f"key long, id {id_type}, n long, runs array<struct<first: int, past: int, h1: long, h2: long>>"
         ),
         "runs",
     )
@@ -143,16 +182,18 @@ def dedup(
     too, the first stays.
     """
     rows = keyed(docs, text, doc_id, keep)
-    gone = staged(repeated(runs(rows, least, words)), "repeated")
-    joined = rows.join(gone, "key", "left").select("row", "text", "parts")
+    found = runs(rows, least, words)
+    counts = found.groupBy("key").agg(F.max("n").alias("n"))
+    gone = staged(counts.join(repeated(found), "key", "left"), "repeated")
+    joined = rows.join(gone, "key", "left").select("row", "text", "parts", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts, removed = [], [], []
             for at in range(batch.num_rows):
                 body = batch.column(1)[at].as_py()
-                parts = sentences(body or "")
                 out = set(batch.column(2)[at].as_py() or ())
+                parts = sentences(body) if out else []
                 cuts: list[dict[str, int]] = []
                 for n in sorted(out):
                     start, end, _ = parts[n]
@@ -161,7 +202,7 @@ def dedup(
                     else:
                         cuts.append({"start": start, "end": end})
                 texts.append(body if not out else "".join(body[s:e] for n, (s, e, _) in enumerate(parts) if n not in out))
-                counts.append(len(parts))
+                counts.append(batch.column(3)[at].as_py())
                 removed.append(cuts)
             yield pa.RecordBatch.from_arrays(
                 [
