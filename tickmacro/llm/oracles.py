@@ -1,8 +1,8 @@
 """The SQL form of the text queries, where SQL can express them.
 
 Left out: sentence dedup (runs of a length that the words decide), SimHash (XXH64,
-components) and the maximum-entropy model (gradient updates); tests hold these
-against brute force.
+components), the maximum-entropy model (gradient updates), whitening (eigenvectors) and
+the main text of pages (nested markup); tests hold these against brute force.
 """
 
 from __future__ import annotations
@@ -398,6 +398,19 @@ SELECT doc_id, size, source_size, target,
 FROM running
 """
 
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+e AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]', 0, 's') AS u, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+  ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+f AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM e),
+g AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM g"""
+
 LLM_ORACLES: dict[str, str] = {
     "op1_secrets": OP1,
     "op3_urls": OP3,
@@ -406,4 +419,5 @@ LLM_ORACLES: dict[str, str] = {
     "op6_shard": OP6,
     "op7_quality": OP7,
     "op8_mix": OP8,
+    "op12_fill_middle": OP12,
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmacro.llm import decontaminate, maxent, mixing, pii, quality, secret_scan, sentence_dedup, sharding, simhash, url_filter
+from tickmacro.llm import (
+    decontaminate,
+    fill_middle,
+    main_text,
+    maxent,
+    mixing,
+    pii,
+    quality,
+    secret_scan,
+    sentence_dedup,
+    sharding,
+    simhash,
+    url_filter,
+    whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -133,6 +147,38 @@ def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(_table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+    return white.select(
+        F.col("row.vec_id").alias("vec_id"),
+        "component",
+        "n",
+        "deviation",
+        "whitened",
+        "explained",
+        "identity_error",
+    )
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_middle(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    again = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(again.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = main_text.extract(_table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select("row.*", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_sentence_dedup": op2_sentence_dedup,
@@ -144,4 +190,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix": op8_mix,
     "op9_simhash": op9_simhash,
     "op10_maxent": op10_maxent,
+    "op11_whitening": op11_whitening,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_main_text": op13_main_text,
 }
