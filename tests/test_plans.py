@@ -121,3 +121,9 @@ def test_alignment_reads_releases_once_and_sorts_none(spark, sf_dir):
     market = daily.market_daily(silver.silver_bars(queries._bars(spark, sf_dir)))
     aligned = _plan(daily.align_daily(market, releases, t.ORDER_SERIES))
     assert "lineitem" not in aligned and "SortAggregate" not in aligned
+
+
+def test_a_response_body_is_parsed_once(spark, sf_dir):
+    for query in (queries.fred_observations, queries.fred_observations_latest, queries.finnhub_quotes):
+        plan = query(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1

@@ -214,7 +214,8 @@ class _Feed:
         return enrichment.read_enriched(self.spark, f"{self.root}/enriched")
 
     def emitted(self):
-        return self.spark.read.parquet(f"{self.root}/enriched/out").count()
+        rows = enrichment.emissions(self.spark, f"{self.root}/enriched")
+        return rows.agg(F.coalesce(F.sum("versions"), F.lit(0))).first()[0]
 
 
 def _at(minute):

@@ -288,6 +288,38 @@ ORACLES["dead_letter_split_stream"] = ORACLES["dead_letter_split"]
 ORACLES["curated_bar_events"] = ORACLES["market_bar_1m"]
 ORACLES["state_events"] = ORACLES["macro_latest_state"]
 ORACLES["enriched_events"] = ORACLES["enriched_market_macro_1m"]
-ORACLES["retention_drop"] = ORACLES["retention_keep_days"].replace(
-    "(SELECT CAST(max(event_time) AS DATE) FROM ticks)", "(SELECT max(dt) FROM silver)"
+ORACLES["enriched_proc_time"] = ORACLES["enriched_market_macro_1m"]
+ORACLES["external_stream_scan"] = ORACLES["silver_market_bar_1m"]
+ORACLES["external_release_scan"] = ORACLES["silver_macro_release"]
+ORACLES["restart_stream"] = ORACLES["market_bar_1m"]
+ORACLES["retention_drop"] = f"""
+{_with(_TICKS, _RELEASES, _bars(), _STATE)},
+events_of AS (
+  SELECT kind || topic AS topic, days, event_id, CAST(ts AS DATE) AS dt, dead = ({_BROKEN}) AS its
+  FROM events, (VALUES ('', 'raw.market.finnhub.tick.v1', 7, false), ('dlq.', 'raw.market.finnhub.tick.v1', 14, true),
+                       ('', 'raw.macro.fred.release.v1', 365, false), ('dlq.', 'raw.macro.fred.release.v1', 14, true)) k(kind, topic, days, dead)
+),
+left_over AS (
+  SELECT topic, days, dt, event_id AS size FROM events_of WHERE its
+  UNION ALL SELECT 'curated.market.bar.1m.v1', 30, CAST(window_start AS DATE), tick_count FROM bars
+  UNION ALL SELECT 'analytics.market_macro.1m.v1', 30, CAST(window_start AS DATE), volume FROM ({_ENRICHED})
 )
+SELECT topic, dt, count(*) AS n, CAST(sum(size) AS BIGINT) AS total FROM left_over
+WHERE dt >= (SELECT CAST(max(ts) AS DATE) FROM events) - days GROUP BY topic, dt"""
+# A part comes with each batch; a fifth of the ticks come one part late or two. What is late
+# in a batch is decided by the watermark that the batch before it began with.
+ORACLES["late_tick_stream"] = f"""
+{_with(_TICKS)},
+spans AS (SELECT min(event_ts_ms) AS low, max(event_ts_ms) AS high FROM ticks),
+arrived AS (
+  SELECT t.*, least(least(5, (event_ts_ms - low) * 6 // greatest(high - low, 1))
+                    + CASE event_id % 10 WHEN 4 THEN 1 WHEN 8 THEN 2 ELSE 0 END, 6) AS batch,
+         time_bucket(INTERVAL '1 minute', event_time) + INTERVAL '1 minute' AS window_end
+  FROM ticks t, spans
+),
+told AS (SELECT b AS batch, max(event_time) - INTERVAL 10 SECOND AS mark FROM range(7) r(b) JOIN arrived a ON a.batch <= b - 2 GROUP BY b),
+judged AS (SELECT a.*, coalesce(a.window_end <= w.mark, false) AS late FROM arrived a LEFT JOIN told w ON w.batch = a.batch)
+SELECT symbol, window_end - INTERVAL '1 minute' AS window_start, window_end, min(price) AS open_price, max(price) AS high_price,
+       min(price) AS low_price, max(price) AS close_price, CAST(sum(size) AS BIGINT) AS volume, count(*) AS tick_count,
+       (SELECT count(*) FROM judged) AS ticks, (SELECT count(*) FROM judged WHERE late) AS ticks_dropped
+FROM judged WHERE NOT late GROUP BY symbol, window_end"""

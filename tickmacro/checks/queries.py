@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tickmacro import files
 from tickmacro.checks import tables as t
 from tickmacro.functions.envelopes import decode_rows, dry_run_lines, encode_rows
 from tickmacro.operators import bars, daily, enrich, retention, serving, silver, state
@@ -22,6 +25,7 @@ from tickmacro.schemas import (
     RELEASE_EVENT,
     RELEASE_TOPIC,
     SILVER_BAR,
+    SILVER_RELEASE,
     STATE_TOPIC,
     TICK_DEAD_TOPIC,
     TICK_EVENT,
@@ -186,8 +190,8 @@ def response_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = price.select(F.col("symbol").alias("key"), F.lit("quote").alias("kind"), "price").union(
         value.select("series_id", F.lit("observations"), F.col("value").cast("double"))
     )
-    dead = quoted.union(listed).where("dead").select("key", "kind", F.lit(None).cast("double"))
-    return good.withColumn("dead", F.lit(False)).union(dead.withColumn("dead", F.lit(True)))
+    dead = [rows.where("dead").select("key", "kind", F.lit(None).cast("double")) for rows in (quoted, listed)]
+    return good.withColumn("dead", F.lit(False)).union(dead[0].union(dead[1]).withColumn("dead", F.lit(True)))
 
 
 def release_dead_letter_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,6 +244,15 @@ def enriched_market_macro_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def enriched_proc_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched rows whose processing time lies within the run; it is dropped then."""
+    began = F.lit(datetime.now(timezone.utc))
+    rows = enrich.enrich(
+        _bars(spark, sf_dir), macro_latest_state(spark, sf_dir), t.EVENT_SERIES, proc_time=True
+    )
+    return t.as_ntz(rows.where(F.col("proc_time").between(began, F.current_timestamp())).drop("proc_time"))
+
+
 def silver_market_bar_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.as_ntz(_silver_bars(spark, sf_dir))
 
@@ -396,31 +409,24 @@ def enriched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _through_json(rows, ANALYTICS_TOPIC, ENRICHED)
 
 
-def retention_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver bars written by day, expired, and read again by table and by path."""
-    path = new_dir(spark, "expiring")
-    _silver_bars(spark, sf_dir).hint("rebalance", "dt").write.partitionBy("dt").parquet(path)
-    table = "market_expiring"
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    table_sources.create_external_table(spark, table, SILVER_BAR, path)
-    newest = spark.table(table).agg(F.max("dt")).first()[0]
-    retention.drop_expired_partitions(spark, table, 7, newest)
-    table_sources.refresh_partitions(spark, table)
-    by_table = spark.table(table).select(*SILVER_BAR.fieldNames())
-    return t.as_ntz(by_table.intersectAll(table_sources.silver_bars(spark, path)))
-
-
 # Streams: the tables are read as streams, run to their end, and the sink is read.
 
 
 def _tick_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """The table in order of time, one part for each micro-batch, with a closing tick."""
-    events = t.parts_in_time(_events(spark, sf_dir), f"{root}/parts")
+    return _as_ticks(t.parts_in_time(_events(spark, sf_dir), f"{root}/parts"))
+
+
+def _as_ticks(events: DataFrame) -> DataFrame:
     return event_sources.decode_ticks(t.tick_events(events))
 
 
+def _as_releases(events: DataFrame) -> DataFrame:
+    return event_sources.decode_releases(t.release_events(events))
+
+
 def _release_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_sources.decode_releases(t.release_events(_events(spark, sf_dir, streaming=True)))
+    return _as_releases(_events(spark, sf_dir, streaming=True))
 
 
 def _run_bars(spark: SparkSession, sf_dir: str, root: str) -> str:
@@ -429,6 +435,12 @@ def _run_bars(spark: SparkSession, sf_dir: str, root: str) -> str:
     return f"{root}/bars"
 
 
+def _lose_commit(spark: SparkSession, checkpoint: str) -> None:
+    """As after a crash between the write and the commit of the last batch: it runs again."""
+    last = max(int(name) for name in files.children(spark, f"{checkpoint}/commits") if name.isdigit())
+    files.delete(spark, f"{checkpoint}/commits/{last}")
+
+
 def market_bar_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_dir(spark, "bars")
     return t.as_ntz(table_sources.read_bars(spark, _run_bars(spark, sf_dir, root)))
@@ -443,6 +455,131 @@ def silver_market_bar_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.as_ntz(table_sources.silver_bars(spark, f"{root}/silver"))
 
 
+def _external(spark: SparkSession, table: str, schema: StructType, path: str) -> DataFrame:
+    """The rows of a folder that a catalog table and a scan by path both have."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    table_sources.create_external_table(spark, table, schema, path)
+    by_path = table_sources.silver_bars if schema is SILVER_BAR else table_sources.silver_releases
+    return spark.table(table).select(*schema.fieldNames()).intersectAll(by_path(spark, path))
+
+
+def external_stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver bars that the stream wrote in several batches, the last one twice, read by a
+    catalog table and by path."""
+    root = new_dir(spark, "external-bars")
+    rows = table_sources.read_bars(spark, _run_bars(spark, sf_dir, root), streaming=True, max_files=8)
+    for n in range(2):
+        if n:
+            _lose_commit(spark, f"{root}/run/silver")
+        jobs.start_silver_bars(rows, f"{root}/silver", f"{root}/run/silver", trigger=ONCE).awaitTermination()
+    return t.as_ntz(_external(spark, "market_stream_bars", SILVER_BAR, f"{root}/silver"))
+
+
+def external_release_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for releases."""
+    root = new_dir(spark, "external-releases")
+    releases = _as_releases(t.parts_in_time(_events(spark, sf_dir), f"{root}/parts"))
+    for n in range(2):
+        if n:
+            _lose_commit(spark, f"{root}/run/silver")
+        jobs.start_silver_releases(releases, f"{root}/silver", f"{root}/run/silver", trigger=ONCE).awaitTermination()
+    found = _external(spark, "market_stream_releases", SILVER_RELEASE, f"{root}/silver")
+    closing = _events(spark, sf_dir).agg(F.max("ts")).scalar()
+    return t.as_ntz(found.where(F.col("release_ts_utc") <= closing))
+
+
+def restart_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of half the parts, a lost commit, and the rest after a start from the checkpoint."""
+    root, events = new_dir(spark, "restart"), _events(spark, sf_dir)
+    part, half = t.part_in_time(events, t.PARTS), t.PARTS // 2
+    for n, which in enumerate((range(half), range(half, t.PARTS))):
+        t.write_parts(events, f"{root}/parts", part, list(which))
+        if n:
+            t.write_closing(events, f"{root}/parts")
+            _lose_commit(spark, f"{root}/run/bars")
+        ticks = _as_ticks(t.follow(events, f"{root}/parts"))
+        jobs.start_bars(ticks, f"{root}/bars", f"{root}/run/bars", trigger=ONCE).awaitTermination()
+    return t.as_ntz(table_sources.read_bars(spark, f"{root}/bars"))
+
+
+def late_tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of a stream in which a fifth of the ticks come late, with the ticks that came
+    and those that were dropped as the query's progress tells them."""
+    root, events = new_dir(spark, "late"), _events(spark, sf_dir)
+    t.write_parts(events, f"{root}/parts", t.late_arrival(events), list(range(t.PARTS + 1)))
+    t.write_closing(events, f"{root}/parts")
+    ticks = _as_ticks(t.follow(events, f"{root}/parts"))
+    query = jobs.start_bars(ticks, f"{root}/bars", f"{root}/run/bars", trigger=ONCE)
+    query.awaitTermination()
+    told = jobs.tick_account(query)
+    # The closing tick is in and its window is open.
+    came = told["ticks"] - 1
+    return t.as_ntz(table_sources.read_bars(spark, f"{root}/bars")).select(
+        "*", F.lit(came).cast("bigint").alias("ticks"), F.lit(came - told["in_bars"]).cast("bigint").alias("ticks_dropped")
+    )
+
+
+def retention_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the streams wrote for every topic, expired, and one more batch after it.
+
+    A row for each topic and day that is left, with the number of its rows and a sum: of ids,
+    ticks or volumes.
+    """
+    root, events = new_dir(spark, "expiring"), _events(spark, sf_dir)
+    part, day = t.part_in_time(events, t.PARTS), F.to_date("ts").alias("day")
+    newest = events.agg(F.to_date(F.max("ts"))).first()[0]
+    raw = {"ticks": (t.mixed_events, TICK_EVENT, TICK_TOPIC, TICK_DEAD_TOPIC)}
+    raw["releases"] = (t.mixed_releases, RELEASE_EVENT, RELEASE_TOPIC, RELEASE_DEAD_TOPIC)
+    folders = {
+        **{topic: f"{root}/{kind}/topic={topic}" for kind, (*_, good, dead) in raw.items() for topic in (good, dead)},
+        BAR_TOPIC: f"{root}/bars",
+        ANALYTICS_TOPIC: f"{root}/enriched/out",
+    }
+    for which in (range(t.PARTS - 1), [t.PARTS - 1]):
+        t.write_parts(events, f"{root}/parts", part, list(which))
+        if t.PARTS - 1 in which:
+            t.write_closing(events, f"{root}/parts")
+        stream = t.follow(events, f"{root}/parts")
+        running = [
+            jobs.start_routed(
+                event_sources.route_dead_letters(mix(stream, day), schema, topic=good, dead_topic=dead),
+                f"{root}/{kind}",
+                f"{root}/run/{kind}",
+                day=F.col("day"),
+                trigger=ONCE,
+            )
+            for kind, (mix, schema, good, dead) in raw.items()
+        ]
+        running.append(jobs.start_bars(_as_ticks(stream), f"{root}/bars", f"{root}/run/bars", trigger=ONCE))
+        for query in running:
+            query.awaitTermination()
+        enrichment.start_enrichment(
+            table_sources.read_bars(spark, f"{root}/bars", streaming=True),
+            _as_releases(stream),
+            f"{root}/enriched",
+            f"{root}/run/enriched",
+            arrival=t.arrival(),
+            series_id=t.EVENT_SERIES,
+            trigger=ONCE,
+        ).awaitTermination()
+        # Expired once in between, with a batch to come, and once at the end.
+        retention.expire_topics(spark, folders, newest, grace=timedelta(0))
+    routed = [
+        jobs.read_routed(spark, f"{root}/{kind}", dated=True).select("topic", "dt", F.col("key").cast("bigint").alias("size"))
+        for kind in raw
+    ]
+    others = [
+        table_sources.read_bars(spark, folders[BAR_TOPIC]).select(
+            F.lit(BAR_TOPIC).alias("topic"), F.to_date("window_start").alias("dt"), F.col("tick_count").alias("size")
+        ),
+        enrichment.read_enriched(spark, f"{root}/enriched").select(
+            F.lit(ANALYTICS_TOPIC).alias("topic"), F.to_date("window_start").alias("dt"), F.col("volume").alias("size")
+        ),
+    ]
+    rows = reduce(DataFrame.union, [*routed, *others]).where(F.col("dt") <= F.lit(newest))
+    return rows.groupBy("topic", "dt").agg(F.count("*").alias("n"), F.sum("size").cast("bigint").alias("total"))
+
+
 def silver_macro_release_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_dir(spark, "silver-releases")
     jobs.start_silver_releases(
@@ -465,16 +602,21 @@ def macro_latest_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched_market_macro_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_dir(spark, "enriched")
-    rows = table_sources.read_bars(spark, _run_bars(spark, sf_dir, root), streaming=True)
+    rows = table_sources.read_bars(spark, _run_bars(spark, sf_dir, root), streaming=True, max_files=1)
+    events = _events(spark, sf_dir)
+    t.write_parts(events, f"{root}/releases", t.part_in_time(events), list(range(4)))
     enrichment.start_enrichment(
         rows,
-        _release_stream(spark, sf_dir),
+        _as_releases(t.follow(events, f"{root}/releases")),
         f"{root}/enriched",
         f"{root}/run/enriched",
         arrival=t.arrival(),
         series_id=t.EVENT_SERIES,
         trigger=ONCE,
     ).awaitTermination()
+    emitted = enrichment.emissions(spark, f"{root}/enriched")
+    if emitted.where("versions > 1").isEmpty():
+        raise AssertionError("no bar was emitted again after its series changed")
     return t.as_ntz(enrichment.read_enriched(spark, f"{root}/enriched"))
 
 
@@ -518,6 +660,7 @@ QUERIES: dict[str, Query] = {
         market_bar_true_ohlc,
         macro_latest_state,
         enriched_market_macro_1m,
+        enriched_proc_time,
         silver_market_bar_1m,
         silver_macro_release,
         market_daily,
@@ -541,7 +684,6 @@ QUERIES: dict[str, Query] = {
         curated_bar_events,
         state_events,
         enriched_events,
-        retention_drop,
         market_bar_1m_stream,
         silver_market_bar_1m_stream,
         silver_macro_release_stream,
@@ -549,5 +691,10 @@ QUERIES: dict[str, Query] = {
         enriched_market_macro_1m_stream,
         serving_bar_minute_stream,
         dead_letter_split_stream,
+        external_stream_scan,
+        external_release_scan,
+        retention_drop,
+        late_tick_stream,
+        restart_stream,
     )
 }

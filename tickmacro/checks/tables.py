@@ -102,8 +102,10 @@ def _spoilt(good: Column, wrong_type: Column, timeless: Column, empty: Column) -
     )
 
 
-def mixed_events(events: DataFrame, payload: Callable[[Column], Column] | None = None) -> DataFrame:
-    """(key, value) of all rows as ticks, some of them spoilt.
+def mixed_events(
+    events: DataFrame, *keep: Column, payload: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """(key, value) of all rows as ticks, some of them spoilt, and what ``keep`` adds.
 
     ``payload`` makes the payload of another kind from its number.
     """
@@ -123,13 +125,13 @@ def mixed_events(events: DataFrame, payload: Callable[[Column], Column] | None =
     value = _spoilt(
         event(number), event(F.concat(F.lit("x"), number)), event(number, None), event(number, full=False)
     )
-    return events.select(F.col("event_id").cast("string").alias("key"), value.alias("value"))
+    return events.select(F.col("event_id").cast("string").alias("key"), value.alias("value"), *keep)
 
 
-def mixed_releases(events: DataFrame) -> DataFrame:
+def mixed_releases(events: DataFrame, *keep: Column) -> DataFrame:
     """The same as releases."""
     return mixed_events(
-        events, lambda v: F.struct(F.col("event_type").alias("series_id"), v.alias("value"))
+        events, *keep, payload=lambda v: F.struct(F.col("event_type").alias("series_id"), v.alias("value"))
     )
 
 
@@ -263,21 +265,53 @@ def as_ntz(df: DataFrame) -> DataFrame:
     )
 
 
-def parts_in_time(events: DataFrame, path: str, parts: int = 4, files: int = 8) -> DataFrame:
-    """``events`` as a stream that brings them in order of time, a part for each trigger.
-
-    Parts are equal spans of time, written one after the other in ``files`` files each.
-    A last tick a day later closes all windows before it and is in none that closes.
-    """
-    spark, at = events.sparkSession, _epoch_ms("ts")
+def part_in_time(events: DataFrame, parts: int = 4) -> Column:
+    """The number of the part that a row falls in, by equal spans of time."""
+    at = _epoch_ms("ts")
     ends = events.agg(F.min(at).alias("low"), F.max(at).alias("high"))
     low, high = ends.select("low").scalar(), ends.select("high").scalar()
-    part = F.least(F.lit(parts - 1), F.floor((at - low) * parts / F.greatest(high - low, F.lit(1))))
-    for n in range(parts):
-        events.where(part == n).repartition(files).write.mode("append").parquet(path)
+    return F.least(F.lit(parts - 1), F.floor((at - low) * parts / F.greatest(high - low, F.lit(1)))).cast("int")
+
+
+def write_parts(events: DataFrame, path: str, arrives: Column, which: list[int], files: int = 8) -> None:
+    """Land the rows of the parts ``which``, one part after the other, in ``files`` files
+    each at most. ``arrives`` tells the part that a row comes with."""
+    marked = events.withColumn("_part", arrives)
+    for n in which:
+        marked.where(F.col("_part") == n).drop("_part").repartition(files).write.mode("append").parquet(path)
+
+
+def write_closing(events: DataFrame, path: str) -> None:
+    """Land one tick a day after the last; it closes all windows before it and is in none
+    that closes."""
     closing = events.select(
         *[F.max(c).alias(c) if c != "ts" else (F.max(c) + F.expr("INTERVAL 1 DAY")).alias(c) for c in events.columns]
     )
     closing.write.mode("append").parquet(path)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files)
+
+
+def follow(events: DataFrame, path: str, files: int = 8) -> DataFrame:
+    """What lands at ``path`` as a stream, a part for each trigger."""
+    stream = events.sparkSession.readStream.schema(events.schema).option("maxFilesPerTrigger", files)
     return stream.parquet(path)
+
+
+def parts_in_time(events: DataFrame, path: str, parts: int = 4, files: int = 8) -> DataFrame:
+    """``events`` as a stream that brings them in order of time, a part for each trigger,
+    and the closing tick at last."""
+    write_parts(events, path, part_in_time(events, parts), list(range(parts)), files)
+    write_closing(events, path)
+    return follow(events, path, files)
+
+
+#: Of the rows of these, as the last digits of ids, the first come one part late, the second two.
+LATE_BY_ONE, LATE_BY_TWO = 4, 8
+PARTS = 6
+
+
+def late_arrival(events: DataFrame, parts: int = PARTS) -> Column:
+    """The part that a row comes with if a fifth of the rows come late: one part or two,
+    and with the closing tick where the parts end before."""
+    last, own = F.col("event_id") % 10, part_in_time(events, parts)
+    late = F.when(last == LATE_BY_ONE, 1).when(last == LATE_BY_TWO, 2).otherwise(0)
+    return F.least(own + late, F.lit(parts))

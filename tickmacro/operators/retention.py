@@ -7,9 +7,14 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickmacro.files import STAGING, delete, file_system, touch
 from tickmacro.functions.times import as_of_column
 from tickmacro.schemas import RETENTION_DAYS
 
+#: How long what is expired stays for readers that have listed it.
+GRACE = timedelta(hours=1)
+_EXPIRED, _MARK = "_expired", "before="
+
 
 def _check_days(days: int) -> int:
     if isinstance(days, bool) or not isinstance(days, int) or days <= 0:
@@ -54,6 +59,91 @@ def apply_topic_retention(
     }
 
 
+# Folders that streams write. What is expired is hidden first and deleted later, so that
+# readers which listed it before have time to finish; a stream that writes the folder
+# only ever adds files and is not disturbed.
+
+
+def expire_topics(
+    spark: SparkSession, folders: dict[str, str], as_of: date | None = None, *, grace: timedelta = GRACE
+) -> dict[str, list[str]]:
+    """``expire_folder`` for the folder of each topic, by the topic's retention; a
+    compacted topic is left alone. Returns the deleted folders per topic."""
+    return {
+        topic: expire_folder(spark, folder, RETENTION_DAYS[topic], as_of, grace=grace)
+        for topic, folder in folders.items()
+        if RETENTION_DAYS[topic] is not None
+    }
+
+
+def expire_folder(
+    spark: SparkSession,
+    path: str,
+    days: int,
+    as_of: date | None = None,
+    *,
+    grace: timedelta = GRACE,
+    day_col: str = "dt",
+) -> list[str]:
+    """Hide the day folders older than ``days``, delete those hidden for ``grace``.
+
+    Day folders may lie below others, as those of topics or batches. The bound is an
+    empty file named by it; ``live`` applies the newest one to whatever a reader lists.
+    A late row may still come into an expired day; it is hidden like the rest and goes
+    with the next call. Returns the deleted folders. Only names of folders reach the
+    driver.
+    """
+    today = as_of or datetime.now(timezone.utc).date()
+    bound = (today - timedelta(days=_check_days(days))).isoformat()
+    files, root = file_system(spark, path)
+    if not files.exists(root):
+        return []
+    marks = _marks(spark, path)
+    if bound > max(marks, default=""):
+        touch(spark, f"{path}/{_EXPIRED}/{_MARK}{bound}")
+        marks = _marks(spark, path)
+    until = datetime.now(timezone.utc) - grace
+    ripe = max((day for day, since in marks.items() if since <= until), default="")
+    new_path, base, gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, files.makeQualified(root).toString(), []
+    for above in ("", "*/", "*/*/"):
+        for found in files.globStatus(new_path(f"{path}/{above}{day_col}=*")) or []:
+            folder = found.getPath()
+            inside = folder.toString()[len(base) :].strip("/")
+            day = folder.getName().removeprefix(f"{day_col}=")
+            if len(day) == 10 and day < ripe and not inside.startswith(STAGING):
+                files.delete(folder, True)
+                gone.append(inside)
+    for day in marks:
+        if day < ripe:
+            delete(spark, f"{path}/{_EXPIRED}/{_MARK}{day}")
+    return sorted(gone)
+
+
+def _marks(spark: SparkSession, path: str) -> dict[str, datetime]:
+    """The bounds set so far, with the time each was set."""
+    files, where = file_system(spark, f"{path}/{_EXPIRED}")
+    if not files.exists(where):
+        return {}
+    return {
+        s.getPath().getName().removeprefix(_MARK): datetime.fromtimestamp(s.getModificationTime() / 1000, timezone.utc)
+        for s in files.listStatus(where)
+        if s.getPath().getName().startswith(_MARK)
+    }
+
+
+def live(
+    spark: SparkSession, df: DataFrame, path: str, *, day_col: str = "dt", where: Column | None = None
+) -> DataFrame:
+    """The rows of ``df``, read from ``path``, that are not expired; whole folders are
+    pruned, so those about to be deleted are not opened. ``where`` limits the bound to
+    some rows. Rows without a day are never expired."""
+    bound = max(_marks(spark, path), default=None)
+    if bound is None:
+        return df
+    kept = F.col(day_col).isNull() | (F.col(day_col) >= F.lit(bound).cast("date"))
+    return df.where(kept if where is None else kept | ~where)
+
+
 def drop_expired_partitions(
     spark: SparkSession, table: str, days: int, as_of: date | None = None, *, day_col: str = "dt"
 ) -> list[str]:
@@ -78,12 +168,5 @@ def drop_expired_partitions(
     for day in expired:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day_col} = '{day}')")
         if kind == "EXTERNAL":
-            _delete(spark, f"{location}/{day_col}={day}")
+            delete(spark, f"{location}/{day_col}={day}")
     return expired
-
-
-def _delete(spark: SparkSession, folder: str) -> None:
-    """Delete a folder wherever it lies, by the file system of its path."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickmacro.functions.times import midnight_ms
 
 MISSING = "."
-_CORRUPT = "_corrupt_record"
+_CORRUPT, _BODY = "_corrupt_record", "_parsed_body"
 _QUOTE = f"c string, t string, {_CORRUPT} string"
 _OBSERVATIONS = (
     "observations array<struct<date: string, value: string, "
@@ -21,34 +23,39 @@ def parse_series(csv: str) -> list[str]:
     return [part.strip() for part in csv.split(",") if part.strip()]
 
 
-def _quote_parts() -> tuple[Column, Column]:
-    """The parsed quote, and whether the body is broken: no JSON, or no price or time."""
-    q = F.from_json("body", _QUOTE, {"columnNameOfCorruptRecord": _CORRUPT})
-    numbers = q["c"].try_cast("double").isNull() | q["t"].try_cast("bigint").isNull()
-    return q, q.isNull() | q[_CORRUPT].isNotNull() | numbers
-
+def _parsed(responses: DataFrame, schema: str, broken: Callable[[Column], Column]) -> DataFrame:
+    """``responses`` with the body parsed once, in a column of its own, and ``dead``.
 
-def _observation_parts() -> tuple[Column, Column]:
-    """The parsed list, and whether the body is broken: no JSON, or a listed observation
-    without a date. A response without a list is whole and lists nothing."""
-    o = F.from_json("body", _OBSERVATIONS, {"columnNameOfCorruptRecord": _CORRUPT})
-    undated = F.exists(F.coalesce(o["observations"], F.array()), lambda x: x["date"].isNull())
-    return o, o.isNull() | o[_CORRUPT].isNotNull() | undated
+    All that is asked of the body afterwards refers to that column; what
+    ``split_quotes`` and ``split_observations`` have parsed is not parsed again.
+    """
+    if _BODY in responses.columns:
+        return responses
+    body = F.from_json("body", schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    found = responses.withColumn(_BODY, body)
+    b = F.col(_BODY)
+    return found.withColumn("dead", b.isNull() | b[_CORRUPT].isNotNull() | broken(b))
 
 
 def split_quotes(responses: DataFrame) -> DataFrame:
-    """``responses`` with ``dead``: true where the body can't be read as a quote."""
-    return responses.withColumn("dead", _quote_parts()[1])
+    """``responses`` with ``dead``: true where the body can't be read as a quote, as it is
+    no JSON or lacks a price or time. What was parsed stays beside it for ``quotes``."""
+    return _parsed(
+        responses, _QUOTE, lambda q: q["c"].try_cast("double").isNull() | q["t"].try_cast("bigint").isNull()
+    )
 
 
 def split_observations(responses: DataFrame) -> DataFrame:
-    """``responses`` with ``dead``: true where the body can't be read as observations."""
-    return responses.withColumn("dead", _observation_parts()[1])
+    """``responses`` with ``dead``: true where the body is no JSON or lists an observation
+    without a date. A response without a list is whole and lists nothing. What was parsed
+    stays beside it for ``raw_observations``."""
+    listed = lambda o: F.coalesce(o["observations"], F.array())
+    return _parsed(responses, _OBSERVATIONS, lambda o: F.exists(listed(o), lambda x: x["date"].isNull()))
 
 
-def _or_fail(broken: Column, value: Column, kind: str) -> Column:
+def _or_fail(value: Column, kind: str) -> Column:
     fault = F.raise_error(F.lit("broken response body; split it off first")).cast(kind)
-    return F.when(broken, fault).otherwise(value)
+    return F.when(F.col("dead"), fault).otherwise(value)
 
 
 def quotes(responses: DataFrame) -> DataFrame:
@@ -57,11 +64,11 @@ def quotes(responses: DataFrame) -> DataFrame:
     A polled quote has no size, so each counts as 1. A broken body fails the job
     unless ``split_quotes`` has set it aside.
     """
-    q, broken = _quote_parts()
-    return responses.select("symbol", q.alias("q"), broken.alias("broken")).select(
+    q = F.col(_BODY)
+    return split_quotes(responses).select(
         "symbol",
-        _or_fail(F.col("broken"), F.col("q.c").try_cast("double"), "double").alias("price"),
-        (F.col("q.t").try_cast("bigint") * F.lit(1000)).alias("event_ts_ms"),
+        _or_fail(q["c"].try_cast("double"), "double").alias("price"),
+        (q["t"].try_cast("bigint") * F.lit(1000)).alias("event_ts_ms"),
         F.lit(1).cast("bigint").alias("size"),
     )
 
@@ -73,11 +80,9 @@ def raw_observations(responses: DataFrame, series: list[str] | None = None) -> D
     """
     if series is not None:
         responses = responses.where(F.col("series_id").isin(series))
-    o, broken = _observation_parts()
     kind = "array<struct<date: string, value: string, realtime_start: string, realtime_end: string>>"
-    listed = responses.select("series_id", o.alias("o"), broken.alias("broken"))
-    listed = listed.select("series_id", F.explode(_or_fail(F.col("broken"), F.col("o.observations"), kind)).alias("o"))
-    return listed.select("series_id", "o.*")
+    listed = _or_fail(F.col(_BODY)["observations"], kind)
+    return split_observations(responses).select("series_id", F.explode(listed).alias("o")).select("series_id", "o.*")
 
 
 def newest_observations(observations: DataFrame, limit: int, *, salts: int = 64) -> DataFrame:

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
+from tickmacro.operators.retention import live
 from tickmacro.schemas import BAR, SILVER_BAR, SILVER_RELEASE
 
+#: What dated folders are named by.
+DAY = "dt"
+
 
 def read_bars(spark: SparkSession, path: str, **stream) -> DataFrame:
     """The bar table. ``streaming=True`` follows its writer; ``max_files`` then
@@ -33,8 +37,12 @@ def _read(
     reader = spark.readStream if streaming else spark.read
     if streaming and max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    stored = schema if DAY in schema.fieldNames() else StructType([*schema.fields, StructField(DAY, DateType())])
+    rows = reader.schema(stored).parquet(path)
+    if not streaming:
+        rows = live(spark, rows, path)
     # A partition column comes last from the scan; the declared order is restored.
-    return reader.schema(schema).parquet(path).select(*schema.fieldNames())
+    return rows.select(*schema.fieldNames())
 
 
 def create_external_table(

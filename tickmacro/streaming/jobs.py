@@ -8,12 +8,15 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
+from tickmacro.files import children, delete, exists, publish_batch, stream_id
 from tickmacro.functions.envelopes import encode_rows
 from tickmacro.operators import bars as bar_ops
 from tickmacro.operators import serving, silver, state
+from tickmacro.operators.retention import live
 from tickmacro.schemas import BAR_TOPIC, MACRO_STATE, ROUTED_EVENT, TOPIC_KEYS
+from tickmacro.sources.tables import DAY
 
 COMMIT_INTERVAL = {"processingTime": "30 seconds"}
 BATCH = "batch_id"
@@ -32,14 +35,22 @@ def start_append(
     trigger: dict | None = None,
     options: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """Append rows to any sink. A file sink commits each file once, also after
-    a restart; ``console`` prints instead of sending.
+    """Append rows to any sink; ``console`` prints instead of sending.
 
-    ``rebalance`` gathers each folder of a partitioned sink into few files per
-    micro-batch and splits a large one, instead of a file per task and folder.
+    A partitioned parquet folder gets plain files (see ``files``), so that catalog
+    tables, other engines and retention can use it; each batch is in it once, also
+    after a restart. ``rebalance`` gathers each folder into few files per micro-batch
+    and splits a large one, instead of a file per task and folder.
     """
-    if partition_by and rebalance:
-        df = df.hint("rebalance", *partition_by)
+    if path and partition_by and fmt == "parquet":
+        known: list[str] = []
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            known or known.append(stream_id(batch.sparkSession, checkpoint))
+            rows = batch.hint("rebalance", *partition_by) if rebalance else batch
+            publish_batch(rows, path, known[0], batch_id, partition_by)
+
+        return start_foreach(df, write, checkpoint, trigger=trigger)
     writer = (
         df.writeStream.format(fmt)
         .outputMode("append")
@@ -75,8 +86,31 @@ def send_events(
 def start_bars(
     ticks: DataFrame, path: str, checkpoint: str, *, interval: str = "1 minute", **sink
 ) -> StreamingQuery:
-    """Closed bars of a watermarked tick stream."""
-    return start_append(bar_ops.build_bars(ticks, interval), path, checkpoint, **sink)
+    """Closed bars of a watermarked tick stream, in a folder per day.
+
+    The query's progress counts the ticks in and the ticks in bars, see ``tick_account``.
+    """
+    counted = ticks.observe("ticks", F.count(F.lit(1)).alias("n"))
+    bars = bar_ops.build_bars(counted, interval).withColumn(DAY, F.to_date("window_start"))
+    bars = bars.observe("bars", F.sum("tick_count").alias("n"))
+    return start_append(bars, path, checkpoint, partition_by=[DAY], **sink)
+
+
+def tick_account(query: StreamingQuery) -> dict[str, int]:
+    """What became of the ticks of a bar stream, from the progress it keeps.
+
+    ``ticks`` came in, ``in_bars`` are in bars that closed, and ``bars_dropped`` counts the
+    symbols and windows that came too late, once for each batch. When all windows are
+    closed the ticks that are in no bar were dropped; until then some are still open.
+    ``spark.sql.streaming.numRecentProgressUpdates`` bounds how many batches are kept.
+    """
+    out = {"ticks": 0, "in_bars": 0, "bars_dropped": 0}
+    for progress in query.recentProgress:
+        observed = progress["observedMetrics"]
+        out["ticks"] += (observed["ticks"]["n"] or 0) if "ticks" in observed else 0
+        out["in_bars"] += (observed["bars"]["n"] or 0) if "bars" in observed else 0
+        out["bars_dropped"] += sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"])
+    return out
 
 
 def start_bar_events(
@@ -119,19 +153,31 @@ def start_serving(
     return start_append(rows, path, checkpoint, partition_by=["hour"], **sink)
 
 
-def start_routed(events: DataFrame, path: str, checkpoint: str, **sink) -> StreamingQuery:
-    """Events to the topic named in each row (a folder per topic on files).
+def start_routed(
+    events: DataFrame, path: str, checkpoint: str, *, day: Column | None = None, **sink
+) -> StreamingQuery:
+    """Events to the topic named in each row, on files a folder per topic and ``day``.
 
-    There are two topics, so raw events are not shuffled for the sake of files.
+    ``day`` is the day of arrival, by default that of the micro-batch. There are two
+    topics and few days in a batch, so raw events are not shuffled for the sake of files.
     """
+    dated = events.withColumn(DAY, F.current_date() if day is None else day)
+    columns = [c for c in ROUTED_EVENT.fieldNames() if c in events.columns]
     return start_append(
-        events, path, checkpoint, partition_by=["topic"], rebalance=False, **sink
+        dated.select(*columns, DAY), path, checkpoint, partition_by=["topic", DAY], rebalance=False, **sink
     )
 
 
-def read_routed(spark: SparkSession, path: str) -> DataFrame:
-    """Routed events from files; a filter on ``topic`` prunes folders."""
-    return spark.read.schema(ROUTED_EVENT).parquet(path)
+def read_routed(spark: SparkSession, path: str, *, dated: bool = False) -> DataFrame:
+    """Routed events from files; a filter on ``topic`` prunes folders, and with ``dated``
+    one on the day of arrival, ``dt``."""
+    stored = StructType([*ROUTED_EVENT.fields, StructField(DAY, DateType())])
+    topics = [name for name in children(spark, path) if name.startswith("topic=")]
+    rows = spark.read.schema(stored).parquet(path)
+    for name in topics:
+        # Each topic has a bound of its own.
+        rows = live(spark, rows, f"{path}/{name}", where=F.col("topic") == name.removeprefix("topic="))
+    return rows.select(*ROUTED_EVENT.fieldNames(), *([DAY] if dated else []))
 
 
 # Upserts. Parquet has no merge: every micro-batch writes its own partition of a
@@ -139,8 +185,10 @@ def read_routed(spark: SparkSession, path: str) -> DataFrame:
 # run again after a failure overwrites its partition, so it adds nothing twice.
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None) -> None:
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    df.write.mode("overwrite").partitionBy(*partition_by or []).parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def read_changelog(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -156,23 +204,19 @@ def read_changelog(spark: SparkSession, path: str, schema: StructType) -> DataFr
     return base.unionByName(tail.where(F.col(BATCH) > bases[-1]))
 
 
-def _file_system(spark: SparkSession, folder: str):
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
-
-
 def _numbers(spark: SparkSession, folder: str, name: str) -> list[int]:
     """The numbers of the finished folders ``name=number``, in order."""
-    files, path = _file_system(spark, folder)
-    if not files.exists(path):
-        return []
-    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    found = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().startswith(f"{name}=")]
-    return sorted(int(p.getName().split("=")[1]) for p in found if files.exists(new(p, "_SUCCESS")))
+    found = [c for c in children(spark, folder) if c.startswith(f"{name}=")]
+    return sorted(int(c.split("=")[1]) for c in found if exists(spark, f"{folder}/{c}/_SUCCESS"))
 
 
 def compact_changelog(
-    spark: SparkSession, path: str, schema: StructType, keys: list[str], version: str | Column = BATCH
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    keys: list[str],
+    version: str | Column = BATCH,
+    partition_by: list[str] | None = None,
 ) -> int | None:
     """Fold all batches but the newest into a base with the last version of each key.
 
@@ -188,12 +232,14 @@ def compact_changelog(
     upto = batches[-2]
     rows = read_changelog(spark, path, schema).where(F.col(BATCH) <= upto)
     columns = [c for c in [*schema.fieldNames(), BATCH] if c not in keys]
-    state.latest_by_key(rows, keys, version, columns).write.mode("overwrite").parquet(f"{path}/{_BASE}/upto={upto}")
+    latest = state.latest_by_key(rows, keys, version, columns)
+    if partition_by:
+        latest = latest.hint("rebalance", *partition_by)
+    latest.write.mode("overwrite").partitionBy(*partition_by or []).parquet(f"{path}/{_BASE}/upto={upto}")
     old = bases[-1] if bases else -1
     gone = [f"{path}/{BATCH}={n}" for n in batches if n <= old] + [f"{path}/{_BASE}/upto={n}" for n in bases[:-1]]
     for folder in gone:
-        files, where = _file_system(spark, folder)
-        files.delete(where, True)
+        delete(spark, folder)
     return upto
 
 
