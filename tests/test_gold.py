@@ -1,12 +1,16 @@
 from __future__ import annotations
 
-from datetime import date
+import random
+import shutil
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.builders import silver_releases
 from tests.conftest import utc
+from tickmacro.files import data_files
+from tickmacro.operators.daily import align_daily, correlation_daily, market_daily
 from tickmacro.plans import gold, reports
 from tickmacro.schemas import ALIGNED_DAILY, CORRELATION_DAILY, SILVER_BAR, SILVER_RELEASE
 from tickmacro.sources import tables
@@ -91,3 +95,55 @@ def test_external_table_follows_its_files(spark, silver, database):
     assert spark.table(name).count() == 6
     spark.sql(f"DROP TABLE {name}")
     assert tables.silver_bars(spark, silver["bars_path"]).count() == 6
+
+
+def _same(left, right):
+    columns = right.columns
+    assert left.select(*columns).exceptAll(right).isEmpty() and right.exceptAll(left.select(*columns)).isEmpty()
+
+
+def test_incremental_refreshes_equal_full_ones(spark, tmp_path, database):
+    """Late bars and releases, new days, removed days and files, call by call."""
+    rng, start = random.Random(2), date(2024, 1, 1)
+    paths = {"bars_path": str(tmp_path / "bars"), "releases_path": str(tmp_path / "releases")}
+    where = {"database": database, "location": str(tmp_path / "db"), **paths}
+
+    def add_bars(days):
+        rows = []
+        for n in days:
+            day = start + timedelta(days=n)
+            at = utc(f"{day} 10:00") + timedelta(minutes=rng.randrange(600))
+            rows += [(day, at, s, *[rng.random()] * 4, 1, 1) for s in "AB" if rng.random() < 0.9]
+        spark.createDataFrame(rows, SILVER_BAR).write.mode("append").partitionBy("dt").parquet(paths["bars_path"])
+
+    def add_releases(days):
+        rows = [("DFF" if n % 3 else "CPI", utc(f"{start + timedelta(days=n)} 09:00"), start, rng.random()) for n in days]
+        silver_releases(spark, *rows).write.mode("append").partitionBy("dt").parquet(paths["releases_path"])
+
+    def check():
+        built = gold.refresh_gold_incremental(spark, **where)
+        bars, releases = tables.silver_bars(spark, paths["bars_path"]), tables.silver_releases(spark, paths["releases_path"])
+        _same(built[gold.BARS], bars)
+        _same(built[gold.RELEASES], releases)
+        aligned = align_daily(market_daily(bars), releases)
+        _same(built[gold.ALIGNED], aligned)
+        rounded = lambda df: df.withColumn("rolling_corr_30d", F.round("rolling_corr_30d", 9))
+        _same(rounded(built[gold.CORRELATION]), rounded(correlation_daily(aligned)))
+        return {name: data_files(spark, f"{tmp_path}/db/{name}") for name in gold.GOLD_TABLES}
+
+    add_bars(range(40)), add_releases([4, 10, 20, 31])
+    first = check()
+    assert check() == first
+    add_bars([12])
+    late_bar = check()
+    assert [k for k in first[gold.ALIGNED] if late_bar[gold.ALIGNED].get(k) != first[gold.ALIGNED][k]][0].startswith("dt=2024-01-13")
+    add_releases([25])
+    check()
+    add_bars([41, 42, 44]), add_releases([43, 2])
+    check()
+    shutil.rmtree(tmp_path / "bars" / "dt=2024-01-16")
+    shutil.rmtree(tmp_path / "releases" / "dt=2024-01-11")
+    last = check()
+    assert not any("2024-01-16" in k for name in (gold.BARS, gold.ALIGNED, gold.CORRELATION) for k in last[name])
+    add_bars([15])
+    check()

@@ -249,6 +249,9 @@ SELECT 'market_bar_1m' AS table_name, count(*) AS row_count FROM bars
 UNION ALL SELECT 'macro_release', count(*) FROM releases
 UNION ALL SELECT 'market_macro_aligned_daily', count(*) FROM aligned
 UNION ALL SELECT 'market_macro_correlation_daily', count(*) FROM aligned""",
+    "gold_refresh_incremental": f"""{_with(*_EVENT_GOLD, _CORRELATION)}
+SELECT a.*, round(c.rolling_corr_30d, 9) AS rolling_corr_30d
+FROM aligned a JOIN correlation c ON c.symbol = a.symbol AND c.dt = a.dt""",
     "monitor_recent_bars": f"""{_with(*_EVENT_BARS)}
 SELECT window_start AS bucket_1m_utc, symbol, open_price, close_price, volume, tick_count
 FROM bars ORDER BY window_start DESC, symbol LIMIT 50""",

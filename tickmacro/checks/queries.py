@@ -316,6 +316,42 @@ def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.row_counts(built)
 
 
+def gold_refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after some bars of one day and the releases of another came late, refreshed
+    before and after: alignment and correlation side by side. Days that the late rows
+    don't bear on must keep their files."""
+    root = new_dir(spark, "gold-days")
+    where = {"bars_path": f"{root}/silver/bars", "releases_path": f"{root}/silver/releases"}
+    first = F.to_date(_ticks(spark, sf_dir).agg(F.min("event_time")).scalar())
+    late_bar = (F.col("dt") == F.date_add(first, 8)) & (F.hour("bucket_1m_utc") >= 13)
+    late_release = (F.col("dt") == F.date_add(first, 20)) & (F.col("series_id") == t.EVENT_SERIES)
+    kept: list[dict] = []
+    for late in (False, True):
+        for rows, path, held in (
+            (_silver_bars(spark, sf_dir), where["bars_path"], late_bar),
+            (_silver_releases(spark, sf_dir), where["releases_path"], late_release),
+        ):
+            part = rows.where(held if late else ~held).hint("rebalance", "dt")
+            part.write.mode("append").partitionBy("dt").parquet(path)
+        built = gold.refresh_gold_incremental(
+            spark, database="market_days", location=f"{root}/gold", series_id=t.EVENT_SERIES, **where
+        )
+        kept.append({name: files.data_files(spark, f"{root}/gold/{name}") for name in built})
+    days = sorted({name.split("/")[0] for name in kept[0][gold.BARS]})
+    same = {name: {f for f in kept[0][name] if kept[1][name].get(f) == kept[0][name][f]} for name in kept[0]}
+    spared = {
+        gold.BARS: [d for n, d in enumerate(days) if n != 8],
+        gold.RELEASES: [d for n, d in enumerate(days) if n != 20],
+        gold.ALIGNED: [d for n, d in enumerate(days) if n not in (8, 20)],
+        gold.CORRELATION: days[:8],
+    }
+    for name, of in spared.items():
+        if not {f for f in kept[0][name] if f.split("/")[0] in of} <= same[name]:
+            raise AssertionError(f"files of untouched days of {name} were written again")
+    both = built[gold.ALIGNED].join(built[gold.CORRELATION], ["symbol", "dt"])
+    return t.as_ntz(_rounded(both, "rolling_corr_30d"))
+
+
 # Reports, serving, retention
 
 
@@ -672,6 +708,7 @@ QUERIES: dict[str, Query] = {
         correlation_latest,
         avg_corr_by_symbol,
         table_row_counts,
+        gold_refresh_incremental,
         monitor_recent_bars,
         monitor_recent_bars_stored,
         monitor_close_timeseries,

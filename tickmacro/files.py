@@ -102,3 +102,19 @@ def move_files(spark: SparkSession, stage: str, path: str, prefix: str) -> list[
             raise OSError(f"{file.toString()} could not be renamed to {target.toString()}")
         moved.append(f"{folder}/{target.getName()}".strip("/"))
     return moved
+
+
+def data_files(spark: SparkSession, path: str) -> dict[str, tuple[int, int]]:
+    """Length and time of every data file below ``path``, by relative name; hidden folders
+    are left out. As many names as Spark itself lists to scan the folder."""
+    files, root = file_system(spark, path)
+    found: dict[str, tuple[int, int]] = {}
+    if not files.exists(root):
+        return found
+    base, listed = files.makeQualified(root).toString(), files.listFiles(root, True)
+    while listed.hasNext():
+        status = listed.next()
+        name = status.getPath().toString()[len(base) :].strip("/")
+        if not any(part.startswith(("_", ".")) for part in name.split("/")):
+            found[name] = (status.getLen(), status.getModificationTime())
+    return found

@@ -131,13 +131,18 @@ def _marks(spark: SparkSession, path: str) -> dict[str, datetime]:
     }
 
 
+def expired_before(spark: SparkSession, path: str) -> str | None:
+    """The day before which everything in a folder is expired, if it was ever set."""
+    return max(_marks(spark, path), default=None)
+
+
 def live(
     spark: SparkSession, df: DataFrame, path: str, *, day_col: str = "dt", where: Column | None = None
 ) -> DataFrame:
     """The rows of ``df``, read from ``path``, that are not expired; whole folders are
     pruned, so those about to be deleted are not opened. ``where`` limits the bound to
     some rows. Rows without a day are never expired."""
-    bound = max(_marks(spark, path), default=None)
+    bound = expired_before(spark, path)
     if bound is None:
         return df
     kept = F.col(day_col).isNull() | (F.col(day_col) >= F.lit(bound).cast("date"))
