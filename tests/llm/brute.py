@@ -138,3 +138,67 @@ def unigrams(docs: list[tuple]) -> list[tuple]:
          sum(math.log10((counts[x] + 1) / (total + distinct + 1)) for x in w))
         for held, w in texts
     ]
+
+
+STOPS = ".!?\n\u3002\uff01\uff1f\uff61\uff0e\u2026\u061f\u06d4\u0964\u0965\u0589\u1362"
+
+
+def sentence_ends(text: str) -> list[int]:
+    """Where sentences end, character by character: after stops and the spaces behind them.
+    What has no word belongs to the sentence before, or to the first."""
+    ends, worded = [], False
+    for k, c in enumerate(text):
+        behind = k and (text[k - 1] in STOPS or text[k - 1].isspace())
+        if behind and c not in STOPS and not c.isspace() and worded:
+            at = k
+            while at and text[at - 1].isspace():
+                at -= 1
+            if at and text[at - 1] in STOPS or any(x in STOPS for x in text[at:k]):
+                ends.append(k)
+        worded |= not c.isspace() and c not in STOPS
+    return [*ends, len(text)] if text else []
+
+
+def words_around(text: str, place: int) -> int:
+    """The words of the sentence that a place lies in."""
+    ends = [0, *sentence_ends(text)]
+    lo, hi = max(e for e in ends if e <= place), min(e for e in ends if e > place)
+    return len("".join(" " if c in STOPS else c for c in text[lo:hi]).split())
+
+
+def _pieces(text: str) -> list[tuple[int, int]]:
+    """Sentences, those of more than 14 words cut before the words that are the least of six."""
+    out, start = [], 0
+    for end in sentence_ends(text):
+        found = list(re.finditer(r"\S+", "".join(" " if c in STOPS else c for c in text[start:end])))
+        cuts = set()
+        if len(found) > 14:
+            w = [crc32(m[0].lower().encode()) for m in found]
+            factor = 0x9E3779B97F4A7C15
+            h = [((w[k] * factor + w[k + 1]) * factor) % 2**64 for k in range(len(w) - 1)]
+            for k in range(len(h) - 5):
+                cuts.add(min(range(k, k + 6), key=lambda i: (h[i], i)))
+        at = [start, *(start + found[k].start() for k in sorted(cuts - {0})), end]
+        out += list(zip(at, at[1:]))
+        start = end
+    return out
+
+
+def repeated_sentences(docs: list[tuple]):
+    """(doc_id, text, places that go) of (doc_id, text) in order of ids, ids distinct."""
+    seen: set[str] = set()
+    for doc_id, text in docs:
+        text, gone, new = text or "", set(), []
+        pieces = _pieces(text)
+        sizes = [len("".join(" " if c in STOPS else c for c in text[s:e]).split()) for s, e in pieces]
+        for first in range(len(pieces)):
+            past = first + 2
+            while past <= len(pieces) and sum(sizes[first:past]) < 25:
+                past += 1
+            if past > len(pieces):
+                break
+            run = "\n".join(" ".join(text[s:e].lower().split()) for s, e in pieces[first:past])
+            if run in seen:
+                gone.update(range(pieces[first][0], pieces[past - 1][1]))
+            seen.add(run)
+        yield doc_id, text, gone

@@ -229,7 +229,7 @@ def test_one_of_each_group_stays(odd, empty):
 def test_sentences_cover_the_text():
     for text in [*(t or "" for t in TEXTS), "A b. C d!\n\n e", "no stop " * 40, "...", "\n", " a. b"]:
         parts = sentence_dedup.sentences(text)
-        assert "".join(text[s:e] for s, e, _ in parts) == text
+        assert "".join(text[p[0] : p[1]] for p in parts) == text
 
 
 def test_repeated_spans_go_but_the_first(make_docs, odd, empty):

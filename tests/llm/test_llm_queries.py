@@ -9,7 +9,7 @@ import corpus_pipeline
 from tests.compare import compare, connect
 from tests.llm import brute
 from tests.llm.test_near_copies import one_of_each_group
-from tickmacro.llm import secret_scan, sentence_dedup
+from tickmacro.llm import secret_scan
 from tickmacro.llm.oracles import LLM_ORACLES
 from tickmacro.llm.queries import LLM_QUERIES
 
@@ -36,15 +36,14 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_sentence_dedup_equals_brute_force(spark, sf_dir, documents):
     found = _by_id(LLM_QUERIES["op2_sentence_dedup"](spark, sf_dir))
-    seen = set()
-    for doc_id, text in documents:
-        parts, gone = sentence_dedup.sentences(text), set()
-        for first, past, h in sentence_dedup.spans(parts):
-            if h in seen:
-                gone.update(range(first, past))
-            seen.add(h)
-        assert found[doc_id].text == "".join(text[s:e] for n, (s, e, _) in enumerate(parts) if n not in gone)
-        assert found[doc_id].n_sentences == len(parts)
+    for doc_id, text, gone in brute.repeated_sentences(documents):
+        removed = [tuple(map(int, s.split(":"))) for s in found[doc_id].removed.split(",") if s]
+        assert {k for s, e in removed for k in range(s, e)} == gone
+        assert found[doc_id].text == "".join(c for k, c in enumerate(text) if k not in gone)
+        # What goes begins and ends between sentences, but within long ones.
+        ends = {0, *brute.sentence_ends(text)}
+        inside = [e for pair in removed for e in pair if e not in ends]
+        assert all(brute.words_around(text, e) > 14 for e in inside)
 
 
 def test_simhash_equals_brute_force(spark, sf_dir, documents):

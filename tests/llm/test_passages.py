@@ -39,3 +39,25 @@ def test_scripts_without_spaces_are_counted_by_characters(make_docs):
     clean = {r.row.doc_id: r.text for r in sentence_dedup.dedup(make_docs(rows)).collect()}
     assert clean[1] == page and clean[2] == "" and clean[3] == rows[2][1] and clean[5] == rows[4][1]
     assert 0 < len(clean[4]) < 35 and len(sentence_dedup.sentences("一。二।三")) == 3
+
+
+@pytest.mark.parametrize("length", range(2, 40))
+def test_passages_of_sentences_of_any_length_meet(length):
+    """51 words in sentences of ``length`` words, begun at every word of the first."""
+    rng = random.Random(length)
+    for offset in range(min(length, 14)):
+        passage = _words(rng, 51)
+        for at in range(length - offset, 51, length):
+            passage[at - 1] += "."
+        one = " ".join(_words(rng, 5) + passage + _words(rng, 9))
+        two = " ".join([*_words(rng, 3), "End.", *passage, *_words(rng, 4)])
+        assert _hashes(one) & _hashes(two)
+
+
+def test_stops_without_words_cost_their_length(make_docs):
+    text = "… " * 200_000 + " ".join(f"w{k}" for k in range(40)) + ". " * 200_000
+    parts = sentence_dedup.sentences(text)
+    assert len(parts) < 20 and "".join(text[p[0] : p[1]] for p in parts) == text
+    assert sum(p[2] for p in parts) == 40
+    clean = {r.row.doc_id: len(r.text) for r in sentence_dedup.dedup(make_docs([(1, text), (2, text)])).collect()}
+    assert clean[1] == len(text) and clean[2] < len(text)

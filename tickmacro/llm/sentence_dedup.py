@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from hashlib import md5
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_digest
 
 from tickmacro.llm.common import packed, staged
 
@@ -24,146 +24,176 @@ _UNSPACED = (
     r"\U00020000-\U0003FFFF"
 )
 
-_SENTENCE = re.compile(rf"[^{_STOPS}]*[{_STOPS}]*\s*")
+_SENTENCE = re.compile(rf"([^{_STOPS}]*)[{_STOPS}]*\s*")
 _WORD = re.compile(rf"[{_UNSPACED}]|[^\s{_STOPS}{_UNSPACED}]+")
+_NO_SPACES = re.compile(f"[{_UNSPACED}]")
 
+#: Sentences of up to so many words are never cut. With runs of 25 words, a passage of 51
+#: words has two whole sentences and 25 words in whole sentences wherever it begins.
+LONGEST = 14
 
 #: Mixes the hashes of words, modulo 2^64.
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def sentences(text: str, window: int = 6, shingle: int = 2) -> list[tuple[int, int, str]]:
-    """(start, end, normal form) of the parts of the sentences of a text, which they cover whole.
+def _cuts(words: list[str], window: int, shingle: int) -> list[int]:
+    """The words before which a long sentence is cut, by their numbers: those whose hash,
+    with that of the next, is the least of ``window`` in a row.
 
-    A sentence ends with a run of full stops or line breaks and the spaces after it.
-    It is cut before each word whose hash, with that of the next, is the least of
-    ``window`` in a row within the sentence. Cuts depend on the words around them alone
-    and are at most ``window + shingle - 1`` words apart, so a passage is cut alike
-    wherever it begins. Every character of a script without spaces is a word. The
-    normal form has single spaces and no upper case.
+    That depends on the words around them alone, and they are at most
+    ``window + shingle - 1`` words apart, so a passage is cut alike wherever it begins.
     """
-    ends = [m.end() for m in _SENTENCE.finditer(text) if m.end() > m.start()]
-    if not ends:
-        return []
-    lower = text.lower()
-    forms = lower if len(lower) == len(text) else None  # else places differ
-    starts = np.array([m.start() for m in _WORD.finditer(text)], np.int64)
-    cuts = set(ends)
-    if len(starts) >= window + shingle - 1:
-        tokens = _WORD.findall(forms) if forms is not None else [w.lower() for w in _WORD.findall(text)]
-        each = np.array([crc32(w.encode("utf-8", "surrogatepass")) for w in tokens], np.uint64)
-        hashes = np.zeros(len(each) - shingle + 1, np.uint64)
-        for k in range(shingle):
-            hashes = (hashes + each[k : k + len(hashes)]) * _FACTOR
-        of = np.searchsorted(ends, starts, side="right")
-        inside = of[: len(hashes) - window + 1] == of[window + shingle - 2 :]
-        least = np.arange(len(inside)) + np.lib.stride_tricks.sliding_window_view(hashes, window).argmin(axis=1)
-        chosen = np.unique(least[inside])
-        within = chosen[(chosen > 0) & (of[chosen] == of[chosen - 1])]
-        cuts.update(starts[within].tolist())
-    out, start = [], 0
-    for stop in sorted(cuts):
-        form = text[start:stop].lower() if forms is None else forms[start:stop]
-        out.append((start, stop, " ".join(form.split())))
-        start = stop
-    return out
-
+    each = np.array([crc32(w.lower().encode("utf-8", "surrogatepass")) for w in words], np.uint64)
+    hashes = np.zeros(len(each) - shingle + 1, np.uint64)
+    for k in range(shingle):
+        hashes = (hashes + each[k : k + len(hashes)]) * _FACTOR
+    least = np.lib.stride_tricks.sliding_window_view(hashes, window).argmin(axis=1)
+    return [n for n in np.unique(np.arange(len(least)) + least).tolist() if n]
 
-def _count(form: str) -> int:
-    """The words of a normal form."""
-    if form.isascii():
-        return form.count(" ") + 1 if form else 0
-    return len(_WORD.findall(form))
 
+def sentences(
+    text: str, longest: int = LONGEST, window: int = 6, shingle: int = 2
+) -> list[tuple[int, int, int, str]]:
+    """(start, end, words, normal form) of the sentences of a text, which they cover whole.
 
-def spans(parts: list[tuple[int, int, str]], least: int = 2, words: int = 25) -> list[tuple[int, int, bytes]]:
-    """(first, past, hash) of the run that begins at each sentence: the shortest one of
+    A sentence ends with a run of full stops or line breaks and the spaces after it.
+    Only one of more than ``longest`` words is cut, see ``_cuts``. Full stops without a
+    word belong to the sentence before them, at the start to the first. Every character
+    of a script without spaces is a word. The normal form has single spaces and no upper
+    case.
+    """
+    spaced = _NO_SPACES.search(text) is None
+    out: list[list] = []
+    for m in _SENTENCE.finditer(text):
+        start, stop = m.span()
+        if start == stop:
+            continue
+        body = m[1]
+        n = len(body.split()) if spaced else len(_WORD.findall(body))
+        if not n:
+            if out:
+                out[-1][1] = stop
+            else:
+                out.append([start, stop, 0, ""])
+            continue
+        if out and not out[-1][2]:
+            start = out.pop()[0]
+        if n <= longest:
+            out.append([start, stop, n, " ".join(m[0].lower().split())])
+            continue
+        found = list(_WORD.finditer(body))
+        cuts = _cuts([w[0] for w in found], window, shingle)
+        at = [start, *(m.start() + found[k].start() for k in cuts), stop]
+        for k, (lo, hi) in enumerate(zip(at, at[1:])):
+            size = ([*cuts, n][k]) - ([0, *cuts][k])
+            out.append([lo, hi, size, " ".join(text[max(lo, m.start()) : hi].lower().split())])
+    return [tuple(part) for part in out]
+
+
+def spans(
+    parts: list[tuple[int, int, int, str]], least: int = 2, words: int = 25
+) -> list[tuple[int, int, bytes]]:
+    """(start, end, hash) of the run that begins at each sentence: the shortest one of
     ``least`` sentences or more with ``words`` words or more, where there is one.
 
     The run depends on what follows its start alone, so a passage gives the same runs
-    wherever it stands. The hash has 128 bits.
+    wherever it stands. Each sentence is hashed once, a run as the hashes of its
+    sentences; both have 128 bits.
     """
-    forms = [p[2] for p in parts]
-    counts = [_count(form) for form in forms]
+    hashes = [xxh3_128_digest(p[3].encode("utf-8", "surrogatepass")) for p in parts]
     out, past, total = [], 0, 0
     for first in range(len(parts)):
         while past < len(parts) and (total < words or past - first < least):
-            total += counts[past]
+            total += parts[past][2]
             past += 1
         if total < words or past - first < least:
             break
-        joined = "\n".join(forms[first:past])
-        out.append((first, past, md5(joined.encode("utf-8", "surrogatepass")).digest()))
-        total -= counts[first]
+        out.append((parts[first][0], parts[past - 1][1], xxh3_128_digest(b"".join(hashes[first:past]))))
+        total -= parts[first][2]
     return out
 
 
+#: What a document is known by: two hashes of its id and text, 128 bits in all.
+_KEY = ["k1", "k2"]
+
+
 def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` as (row, key, id, text).
+    """``docs`` as (row, k1, k2, id, text).
 
-    ``key`` hashes the id and the text: a row repeated whole has the key of the
-    first and counts as the same document.
+    The key hashes the id and the text: a row repeated whole has the key of the first
+    and counts as the same document.
     """
     body, given = docs[f"`{text}`"].cast("string"), docs[f"`{doc_id}`"]
-    return packed(docs, keep or docs.columns, key=F.xxhash64(given, body), id=given, text=body)
+    k1, k2 = F.xxhash64(given, body), F.xxhash64(body, F.lit("2"), given)
+    return packed(docs, keep or docs.columns, k1=k1, k2=k2, id=given, text=body)
 
 
 def runs(rows: DataFrame, least: int = 2, words: int = 25) -> DataFrame:
-    """(key, id, n, runs), staged: for each text the number of its parts, and its spans as
-    structs of first and past part and the two halves of their hash."""
+    """(k1, k2, id, n, runs), staged: for each text the number of its sentences, and its
+    spans as structs of start, end and the two halves of their hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, sizes, firsts, pasts, hashes = [], [0], [], [], []
-            for value in batch.column(2):
+            counts, sizes, starts, ends, hashes = [], [0], [], [], []
+            for value in batch.column(3):
                 parts = sentences(value.as_py() or "")
                 counts.append(len(parts))
-                for first, past, digest in spans(parts, least, words):
-                    firsts.append(first)
-                    pasts.append(past)
+                for start, end, digest in spans(parts, least, words):
+                    starts.append(start)
+                    ends.append(end)
                     hashes.append(digest)
-                sizes.append(len(firsts))
+                sizes.append(len(starts))
             halves = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
             flat = pa.StructArray.from_arrays(
                 [
-                    pa.array(firsts, pa.int32()),
-                    pa.array(pasts, pa.int32()),
+                    pa.array(starts, pa.int32()),
+                    pa.array(ends, pa.int32()),
                     pa.array(np.ascontiguousarray(halves[:, 0])),
                     pa.array(np.ascontiguousarray(halves[:, 1])),
                 ],
-                ["first", "past", "h1", "h2"],
+                ["start", "end", "h1", "h2"],
             )
             lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), lists], ["key", "id", "n", "runs"]
+                [*(batch.column(k) for k in range(3)), pa.array(counts, pa.int64()), lists],
+                [*_KEY, "id", "n", "runs"],
             )
 
-    given = rows.select("key", "id", "text")
+    given = rows.select(*_KEY, "id", "text")
     id_type = given.schema["id"].dataType.simpleString()
-    return staged(
-        given.mapInArrow(
-            run, f"key long, id {id_type}, n long, runs array<struct<first: int, past: int, h1: long, h2: long>>"
-        ),
-        "runs",
-    )
+    kind = "array<struct<start: int, end: int, h1: long, h2: long>>"
+    return staged(given.mapInArrow(run, f"k1 long, k2 long, id {id_type}, n long, runs {kind}"), "runs")
 
 
 def repeated(found: DataFrame) -> DataFrame:
-    """(key, parts): the sentences of each document that a non-first repeated span covers.
+    """(k1, k2, spans): the stretches of each document that a non-first repeated span covers,
+    as structs of start and end; they may overlap.
 
     The first span of a hash is that of the smallest id, then key and place; null ids
     come last. Hashes alone are counted first, aggregated before the shuffle, so a
     passage in a third of all documents is a row for each task; only the spans of
     hashes met twice go on. The join has one row for each hash on one side.
     """
-    each = found.select("key", "id", F.explode("runs").alias("r")).select("key", "id", "r.*")
+    each = found.select(*_KEY, "id", F.explode("runs").alias("r")).select(*_KEY, "id", "r.*")
     twice = each.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
     again = staged(each.join(staged(twice, "twice"), ["h1", "h2"]), "again")
-    order = F.struct(F.col("id").isNull(), "id", "key", "first")
+    order = F.struct(F.col("id").isNull(), "id", *_KEY, "start")
     firsts = again.groupBy("h1", "h2").agg(F.min(order).alias("at"))
-    later = again.join(firsts, ["h1", "h2"]).where(order != F.col("at"))
-    covered = later.select("key", F.explode(F.sequence("first", F.col("past") - 1)).alias("part"))
-    return covered.distinct().groupBy("key").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    later = again.join(firsts, ["h1", "h2"]).where(order != F.col("at")).select(*_KEY, "start", "end")
+    # A document has fewer spans than sentences, so what meets here is bounded by its text;
+    # a row repeated whole brings each of them again.
+    return later.distinct().groupBy(*_KEY).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+
+
+def _merged(spans_: list[dict]) -> list[dict[str, int]]:
+    """Sorted stretches with those that overlap or touch joined."""
+    out: list[dict[str, int]] = []
+    for s in spans_:
+        if out and s["start"] <= out[-1]["end"]:
+            out[-1]["end"] = max(out[-1]["end"], s["end"])
+        else:
+            out.append({"start": s["start"], "end": s["end"]})
+    return out
 
 
 def dedup(
@@ -183,32 +213,27 @@ def dedup(
     """
     rows = keyed(docs, text, doc_id, keep)
     found = runs(rows, least, words)
-    counts = found.groupBy("key").agg(F.max("n").alias("n"))
-    gone = staged(counts.join(repeated(found), "key", "left"), "repeated")
-    joined = rows.join(gone, "key", "left").select("row", "text", "parts", "n")
+    counts = found.groupBy(*_KEY).agg(F.max("n").alias("n"))
+    gone = staged(counts.join(repeated(found), _KEY, "left"), "repeated")
+    joined = rows.join(gone, _KEY, "left").select("row", "text", "spans", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, counts, removed = [], [], []
-            for at in range(batch.num_rows):
-                body = batch.column(1)[at].as_py()
-                out = set(batch.column(2)[at].as_py() or ())
-                parts = sentences(body) if out else []
-                cuts: list[dict[str, int]] = []
-                for n in sorted(out):
-                    start, end, _ = parts[n]
-                    if cuts and cuts[-1]["end"] == start:
-                        cuts[-1]["end"] = end
-                    else:
-                        cuts.append({"start": start, "end": end})
-                texts.append(body if not out else "".join(body[s:e] for n, (s, e, _) in enumerate(parts) if n not in out))
-                counts.append(batch.column(3)[at].as_py())
+            texts, removed = [], []
+            for body, spans_ in zip(batch.column(1), batch.column(2)):
+                cuts = _merged(spans_.as_py() or [])
                 removed.append(cuts)
+                if cuts:
+                    whole = body.as_py()
+                    at = [0, *(x for c in cuts for x in (c["start"], c["end"])), len(whole)]
+                    texts.append("".join(whole[lo:hi] for lo, hi in zip(at[::2], at[1::2])))
+                else:
+                    texts.append(body.as_py())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(texts, pa.string()),
-                    pa.array(counts, pa.int64()),
+                    batch.column(3),
                     pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                 ],
                 ["row", "text", "n_sentences", "removed"],
