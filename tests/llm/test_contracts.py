@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,18 +158,53 @@ def test_quality_equals_brute_force(spark, odd, empty):
 
 def test_cutoffs_are_certified_by_stratum(spark, make_docs):
     body = " ".join(f"plain{k}" for k in range(40))
-    rows = [(k, f"{body} {k}", "en") for k in range(2500)] + [(5000 + k, f"{body} {k}", "de") for k in range(50)]
-    odd = " ".join(f"plain{k}#" for k in range(40))
-    rows += [(9000, odd, "en"), (9001, odd, "de")]
-    labels = spark.createDataFrame([(r[0], 1) for r in rows if r[0] < 9000], "doc_id long, quality int")
+    sizes = {"en": 600, "de": 320, "fr": 320, "es": 320, "it": 50}
+    rows, labels, odd = [], [], " ".join(f"plain{k}#" for k in range(40))
+    for at, (lang, n) in enumerate(sizes.items()):
+        first = 10_000 * at
+        # Of the good ones in French five have symbols: that many end the sequence at once.
+        good = [(first + k, (odd if lang == "fr" and k < 5 else body) + f" {k}", lang) for k in range(n)]
+        rows += [*good, (first + 9000, odd, lang)]
+        labels += [(r[0], 1) for r in good]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int")
     measured = quality.measure(make_docs(rows, clash=False), ["doc_id"])
-    judged = quality.judge(measured, quality.cutoffs(measured, labels)).where("not kept")
-    assert [r[0] for r in judged.select("row.doc_id").collect()] == [9000]
+    certified = quality.cutoffs(measured, labels)
+    assert {r.stratum: (r.n, r.steps) for r in certified.collect()} == {
+        lang: (n, 0 if lang == "it" else 1 if lang == "fr" else len(quality.STEPS)) for lang, n in sizes.items()
+    }
+    judged = quality.judge(measured, certified).where("not kept")
+    assert sorted(r[0] for r in judged.select("row.doc_id").collect()) == [9000, 19000, 39000]
+
+
+def test_kept_rows_are_those_judged_so(spark, sf_dir, odd, empty):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    for docs in (odd, empty, spark.read.parquet(f"{sf_dir}/documents.parquet")):
+        rows = quality.measure(docs, docs.columns)
+        want = quality.judge(rows, quality.cutoffs(rows, labels)).where("kept").select("row.*")
+        kept = quality.keep_good(docs, labels)
+        assert kept.columns == docs.columns and kept.exceptAll(want).isEmpty() and want.exceptAll(kept).isEmpty()
+
+
+def test_sets_of_rules_are_nested():
+    for k in range(1, len(quality.STEPS) + 1):
+        before, after = quality.cutoffs_after(k - 1), quality.cutoffs_after(k)
+        assert all(after[rule] <= cut for rule, cut in before.items()) and before != after
+
+
+def test_the_sequence_keeps_its_bound():
+    """Simulated holdouts: a set that truly rejects more than allowed is rarely certified."""
+    rng, rate, allowed, wrong, runs_ = np.random.default_rng(7), 0.02, 0.0125, 0, 4000
+    for _ in range(runs_):
+        # Nested sets whose true risk grows; those from the third on are beyond the rate.
+        risks, n = np.array([0.004, 0.012, 0.0205, 0.03, 0.05]), 600
+        x = (rng.random((n, 1)) < risks).sum(axis=0)
+        sure = [sum(math.comb(n, i) * rate**i * (1 - rate) ** (n - i) for i in range(int(k) + 1)) <= allowed for k in x]
+        steps = sure.index(False) if False in sure else len(sure)
+        wrong += steps > 2
+    assert wrong / runs_ <= allowed + 3 * (allowed / runs_) ** 0.5
 
 
 def test_binomial_bound_is_exact(spark):
-    import math
-
     cells = [(x, n) for n in (1, 10, 400) for x in (0, 1, 5) if x <= n]
     df = spark.createDataFrame(cells, "x long, n long")
     for r in df.withColumn("p", quality.binomial_cdf(F.col("x"), F.col("n"), 0.03)).collect():

@@ -314,8 +314,13 @@ FROM (SELECT doc_id, ({_PLACE})::INTEGER AS slot FROM documents),
 """
 
 _RISK = quality.Risk()
-_RATE = _RISK.false_rejects / len(quality.RULES)
-_CELLS = [(rule, cut) for rule, grid in quality.RULES.items() for cut in grid]
+_RATE = _RISK.false_rejects
+
+
+def _any(steps: int) -> str:
+    """What the rules reject after so many steps."""
+    return " OR ".join(f"{rule} > {cut}" for rule, cut in quality.STEPS[:steps])
+
 
 OP7 = f"""
 WITH d AS (
@@ -346,17 +351,17 @@ measured AS (
 ),
 good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING max(quality) = 1),
 held AS (SELECT * FROM measured WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
-cells AS ({" UNION ALL ".join(f"SELECT lang, '{r}' AS rule, {c} AS cut, count(*) AS n, count(*) FILTER ({r} > {c}) AS x FROM held GROUP BY lang" for r, c in _CELLS)}),
-sure AS (
-  SELECT lang, rule, min(cut) AS cut FROM cells
-  WHERE x < n * {_RATE!r} AND list_sum(list_transform(range(0, x + 1), lambda i:
+tried AS ({" UNION ALL ".join(f"SELECT lang, {k} AS k, count(*) AS n, count(*) FILTER ({_any(k)}) AS x FROM held GROUP BY lang" for k in range(1, len(quality.STEPS) + 1))}),
+judged AS (
+  SELECT lang, k, x < n * {_RATE!r} AND list_sum(list_transform(range(0, x + 1), lambda i:
       exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * {math.log(_RATE)!r} + (n - i) * {math.log(1 - _RATE)!r})))
-    <= {_RISK.failure!r} / ((SELECT count(*) FROM (SELECT DISTINCT lang FROM held)) * {len(_CELLS)})
-  GROUP BY lang, rule
+    <= {_RISK.failure!r} / (SELECT count(*) FROM (SELECT DISTINCT lang FROM held)) AS sure
+  FROM tried
 ),
+reached AS (SELECT lang, coalesce(min(k) FILTER (NOT sure), {len(quality.STEPS) + 1}) AS k FROM judged GROUP BY lang),
 rejected AS (
-  SELECT DISTINCT rid FROM measured m JOIN sure s ON m.lang IS NOT DISTINCT FROM s.lang
-  WHERE CASE rule {" ".join(f"WHEN '{r}' THEN {r}" for r in quality.RULES)} END > cut
+  SELECT DISTINCT rid FROM measured m JOIN reached r ON m.lang IS NOT DISTINCT FROM r.lang
+  WHERE {" OR ".join(f"(r.k > {k} AND {rule} > {cut})" for k, (rule, cut) in enumerate(quality.STEPS, 1))}
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND rid NOT IN (SELECT rid FROM rejected) AS kept

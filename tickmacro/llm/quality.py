@@ -10,19 +10,35 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickmacro.llm.common import let, packed, staged, words
+from tickmacro.llm.common import held, let, packed, staged, words
 
 WINDOW = 5
 #: Characters that count as symbols.
 SYMBOLS = r"[#*$%&|<>]"
-#: A document is rejected by a rule where its measure exceeds a cutoff.
-RULES: dict[str, tuple[float, ...]] = {
-    "symbols": (0.1, 0.2, 0.3, 0.5, 1.0),
-    "repeats": (0.05, 0.1, 0.15, 0.2),
-    "dup_lines": (0.1, 0.2, 0.3, 0.5),
-    "word_length": (8.0, 10.0, 12.0, 15.0, 20.0),
-    "capitals": (0.1, 0.2, 0.3, 0.5),
-}
+#: A document is rejected by a rule where its measure exceeds a cutoff. Each step lowers the
+#: cutoff of one rule and keeps the others, so the sets of rules are nested, from lenient to
+#: strict. The order is fixed before any label is seen: first what prose has least of.
+STEPS: tuple[tuple[str, float], ...] = (
+    *(("symbols", cut) for cut in (1.0, 0.5, 0.3, 0.2, 0.1)),
+    *(("word_length", cut) for cut in (20.0, 15.0, 12.0, 10.0)),
+    *(("capitals", cut) for cut in (0.5, 0.3, 0.2)),
+    ("repeats", 0.2),
+    ("dup_lines", 0.5),
+    ("word_length", 8.0),
+    ("capitals", 0.1),
+    ("dup_lines", 0.3),
+    ("repeats", 0.15),
+    ("dup_lines", 0.2),
+    ("repeats", 0.1),
+    ("dup_lines", 0.1),
+    ("repeats", 0.05),
+)
+RULES = tuple(dict.fromkeys(rule for rule, _ in STEPS))
+
+
+def cutoffs_after(steps: int) -> dict[str, float]:
+    """The cutoff of each rule after so many steps; rules without one reject nothing."""
+    return dict(STEPS[:steps])
 
 
 @dataclass(frozen=True)
@@ -65,7 +81,11 @@ def _repeat_words(tokens: Column) -> Column:
 
 
 def measured(
-    docs: DataFrame, text: str = "text", stratum: str = "lang", keep: list[str] | None = None
+    docs: DataFrame,
+    text: str = "text",
+    stratum: str = "lang",
+    keep: list[str] | None = None,
+    beside: dict[str, Column] | None = None,
 ) -> DataFrame:
     """``docs`` as (row, rid, stratum, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, rules...).
@@ -73,10 +93,15 @@ def measured(
     A null text has no words, a null stratum is one of its own. All counting is done
     in arrays inside the row, so a long text costs its length and nothing is shuffled.
     ``rid`` also keeps later filters from being pushed below, where they would count
-    once more for each measure they name.
+    once more for each measure they name. ``beside`` adds columns.
     """
+    beside = beside or {}
     rows = packed(
-        docs, keep or docs.columns, text=F.coalesce(docs[f"`{text}`"], F.lit("")), stratum=docs[f"`{stratum}`"]
+        docs,
+        keep or docs.columns,
+        text=F.coalesce(docs[f"`{text}`"], F.lit("")),
+        stratum=docs[f"`{stratum}`"],
+        **beside,
     )
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     by_words = let(
@@ -95,6 +120,7 @@ def measured(
     )
     out = rows.select(
         "row",
+        *beside,
         "stratum",
         by_words.alias("w"),
         by_lines.alias("l"),
@@ -105,6 +131,7 @@ def measured(
     n_words, chars = F.col("w.n_words"), F.col("w.word_chars")
     out = out.select(
         "row",
+        *beside,
         "stratum",
         n_words.alias("n_words"),
         chars.alias("word_chars"),
@@ -140,41 +167,73 @@ def binomial_cdf(x: Column, n: Column, p: float) -> Column:
 
 
 def cutoffs(rows: DataFrame, labels: DataFrame, doc_id: str = "doc_id", risk: Risk = Risk()) -> DataFrame:
-    """(stratum, one column for each rule): the lowest cutoff certified, null if none is.
+    """(stratum, n, steps, one column for each rule): how many steps are certified, and the
+    cutoffs they end at, null where a rule has none.
 
     Held out are all labelled good documents that pass the base rules; a document
-    labelled twice is good if any label says so, null labels say nothing. A cutoff is
-    certified if rejecting as few of them as it does would have a chance below
-    ``failure`` under a true rate of ``false_rejects`` over the number of rules: the
-    exact one-sided binomial bound. The chance is divided by all strata and cutoffs
-    tried (Bonferroni). Few labels certify nothing, so nothing is rejected.
-    Only counts for each stratum leave the tasks.
+    labelled twice is good if any label says so, null labels say nothing. The sets of
+    rules are tested in their order, each as a whole: it is certified if rejecting as few
+    of the ``n`` documents as it does would have a chance below ``failure`` under a true
+    rate of ``false_rejects``, the exact one-sided binomial bound. The first set that
+    fails ends the sequence; as nothing is tested after it, the sets of a stratum share
+    its chance whole (fixed-sequence testing), and only the strata divide it (Bonferroni).
+    Few labels certify nothing, so nothing is rejected. Only counts for each stratum
+    leave the tasks.
     """
-    rate = risk.false_rejects / len(RULES)
-    tried = sum(len(grid) for grid in RULES.values())
     good = labels.groupBy("doc_id").agg(F.max("quality").alias("quality")).where("quality = 1")
     passed = rows.where(~F.col("base_failed"))
-    held = passed.withColumn("doc_id", F.col(f"row.`{doc_id}`")).drop("row")
-    held = held.join(good, "doc_id", "left_semi")
-    cells = [(rule, cut) for rule, grid in RULES.items() for cut in grid]
-    counts = [F.sum((F.col(rule) > cut).cast("long")).alias(f"x{k}") for k, (rule, cut) in enumerate(cells)]
-    per = staged(held.groupBy("stratum").agg(F.count("*").alias("n"), *counts), "held")
+    out = passed.withColumn("doc_id", F.col(f"row.`{doc_id}`")).drop("row")
+    out = out.join(good, "doc_id", "left_semi")
+    counts = [
+        F.sum(_rejected(cutoffs_after(k)).cast("long")).alias(f"x{k}") for k in range(1, len(STEPS) + 1)
+    ]
+    per = staged(out.groupBy("stratum").agg(F.count("*").alias("n"), *counts), "held")
     strata = per.select(F.count("*").alias("strata"))
-    cell = [
-        F.struct(F.lit(rule).alias("rule"), F.lit(cut).alias("cut"), F.col(f"x{k}").alias("x"))
-        for k, (rule, cut) in enumerate(cells)
+    per = per.withColumn("strata", strata.scalar())
+    allowed, n = F.lit(risk.failure) / F.col("strata"), F.col("n")
+
+    def fails(k: int) -> Column:
+        x = F.col(f"x{k}")
+        chance = F.when(x < n * risk.false_rejects, binomial_cdf(x, n, risk.false_rejects)).otherwise(1.0)
+        return F.when(chance > allowed, F.lit(k - 1))
+
+    failed = [fails(k) for k in range(1, len(STEPS) + 1)]
+    steps = F.coalesce(F.array_min(F.array(*failed)), F.lit(len(STEPS)))
+    per = per.select("stratum", "n", steps.alias("steps"))
+    ends = [
+        F.get(F.array(*[F.lit(cutoffs_after(k).get(rule)).cast("double") for k in range(len(STEPS) + 1)]), F.col("steps"))
+        .alias(f"cut_{rule}")
+        for rule in RULES
     ]
-    each = per.select("stratum", "n", F.explode(F.array(*cell)).alias("c")).select("stratum", "n", "c.*")
-    each = each.withColumn("strata", strata.scalar())
-    chance = F.when(F.col("x") < F.col("n") * rate, binomial_cdf(F.col("x"), F.col("n"), rate))
-    sure = each.where(chance <= F.lit(risk.failure) / (F.col("strata") * tried))
-    lowest = [F.min(F.when(F.col("rule") == rule, F.col("cut"))).alias(f"cut_{rule}") for rule in RULES]
-    return staged(sure.groupBy("stratum").agg(*lowest), "cutoffs")
+    return staged(per.select("stratum", "n", "steps", *ends), "cutoffs")
+
+
+def _rejected(cuts: dict[str, float]) -> Column:
+    return reduce(or_, [F.col(rule) > cut for rule, cut in cuts.items()])
 
 
 def judge(rows: DataFrame, certified: DataFrame) -> DataFrame:
     """``measured`` rows with ``kept``: false if the base rules or a certified cutoff reject."""
-    certified = certified.withColumnRenamed("stratum", "of")
+    certified = certified.select(F.col("stratum").alias("of"), *[f"cut_{rule}" for rule in RULES])
     joined = rows.join(certified, F.col("stratum").eqNullSafe(F.col("of")), "left")
     rejects = [F.coalesce(F.col(rule) > F.col(f"cut_{rule}"), F.lit(False)) for rule in RULES]
     return joined.withColumn("kept", ~F.col("base_failed") & ~reduce(or_, rejects))
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", doc_id: str = "doc_id"
+) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns, each text measured once.
+
+    A verdict depends on text and stratum alone, so rejected rows are known again by two
+    hashes of them, 128 bits in all. Rows that are surely kept are not shuffled.
+    """
+    of = [docs[f"`{text}`"].cast("string"), docs[f"`{stratum}`"]]
+    key = {"k1": F.xxhash64(*of), "k2": F.xxhash64(F.lit("2"), *reversed(of))}
+    rows = staged(measured(docs, text, stratum, [doc_id], key), "measured")
+    judged = judge(rows, cutoffs(rows, labels, doc_id))
+    gone = staged(judged.where("not kept").select(*key).distinct(), "rejected")
+    maybe = held(gone, "k1")
+    named = packed(docs, docs.columns, **key)
+    some = named.where(maybe(F.col("k1"))).join(gone, list(key), "left_anti").select("row.*")
+    return named.where(~maybe(F.col("k1"))).select("row.*").unionByName(some)
