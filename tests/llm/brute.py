@@ -167,7 +167,7 @@ def words_around(text: str, place: int) -> int:
 
 
 def _pieces(text: str) -> list[tuple[int, int]]:
-    """Sentences, those of more than 14 words cut before the words that are the least of six."""
+    """Sentences, those of more than 14 words cut before the words that are the least of twelve."""
     out, start = [], 0
     for end in sentence_ends(text):
         found = list(re.finditer(r"\S+", "".join(" " if c in STOPS else c for c in text[start:end])))
@@ -176,8 +176,8 @@ def _pieces(text: str) -> list[tuple[int, int]]:
             w = [crc32(m[0].lower().encode()) for m in found]
             factor = 0x9E3779B97F4A7C15
             h = [((w[k] * factor + w[k + 1]) * factor) % 2**64 for k in range(len(w) - 1)]
-            for k in range(len(h) - 5):
-                cuts.add(min(range(k, k + 6), key=lambda i: (h[i], i)))
+            for k in range(len(h) - 11):
+                cuts.add(min(range(k, k + 12), key=lambda i: (h[i], i)))
         at = [start, *(start + found[k].start() for k in sorted(cuts - {0})), end]
         out += list(zip(at, at[1:]))
         start = end
@@ -191,12 +191,18 @@ def repeated_sentences(docs: list[tuple]):
         text, gone, new = text or "", set(), []
         pieces = _pieces(text)
         sizes = [len("".join(" " if c in STOPS else c for c in text[s:e]).split()) for s, e in pieces]
+        runs, last = [], 0
         for first in range(len(pieces)):
             past = first + 2
             while past <= len(pieces) and sum(sizes[first:past]) < 25:
                 past += 1
             if past > len(pieces):
                 break
+            runs.append((first, past))
+            last = first
+        if runs and runs[-1][1] < len(pieces):
+            runs.append((last, len(pieces)))
+        for first, past in runs:
             run = "\n".join(" ".join(text[s:e].lower().split()) for s, e in pieces[first:past])
             if run in seen:
                 gone.update(range(pieces[first][0], pieces[past - 1][1]))

@@ -28,31 +28,40 @@ _SENTENCE = re.compile(rf"([^{_STOPS}]*)[{_STOPS}]*\s*")
 _WORD = re.compile(rf"[{_UNSPACED}]|[^\s{_STOPS}{_UNSPACED}]+")
 _NO_SPACES = re.compile(f"[{_UNSPACED}]")
 
-#: Sentences of up to so many words are never cut. With runs of 25 words, a passage of 51
-#: words has two whole sentences and 25 words in whole sentences wherever it begins.
+#: Sentences of up to so many words are never cut, longer ones into parts of one word less
+#: at most. A passage of 51 words has runs of 25 words in whole parts wherever it begins.
 LONGEST = 14
 
 #: Mixes the hashes of words, modulo 2^64.
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _cuts(words: list[str], window: int, shingle: int) -> list[int]:
-    """The words before which a long sentence is cut, by their numbers: those whose hash,
-    with that of the next, is the least of ``window`` in a row.
+def _cuts(words: list[str], sizes: list[int], window: int, shingle: int) -> list[list[int]]:
+    """For long sentences of ``sizes`` words each the words before which they are cut, by
+    their numbers: those whose hash, with that of the next, is the least of ``window`` in
+    a row within the sentence.
 
     That depends on the words around them alone, and they are at most
     ``window + shingle - 1`` words apart, so a passage is cut alike wherever it begins.
     """
-    each = np.array([crc32(w.lower().encode("utf-8", "surrogatepass")) for w in words], np.uint64)
+    each = np.fromiter((crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
     hashes = np.zeros(len(each) - shingle + 1, np.uint64)
     for k in range(shingle):
         hashes = (hashes + each[k : k + len(hashes)]) * _FACTOR
-    least = np.lib.stride_tricks.sliding_window_view(hashes, window).argmin(axis=1)
-    return [n for n in np.unique(np.arange(len(least)) + least).tolist() if n]
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    inside = of[: len(hashes) - window + 1] == of[window + shingle - 2 :]
+    least = np.lib.stride_tricks.sliding_window_view(hashes, window)[inside].argmin(axis=1)
+    chosen = np.unique(np.flatnonzero(inside) + least)
+    firsts = np.cumsum([0, *sizes[:-1]])
+    out: list[list[int]] = [[] for _ in sizes]
+    for k, n in zip(of[chosen].tolist(), (chosen - firsts[of[chosen]]).tolist()):
+        if n:
+            out[k].append(n)
+    return out
 
 
 def sentences(
-    text: str, longest: int = LONGEST, window: int = 6, shingle: int = 2
+    text: str, longest: int = LONGEST, window: int = 12, shingle: int = 2
 ) -> list[tuple[int, int, int, str]]:
     """(start, end, words, normal form) of the sentences of a text, which they cover whole.
 
@@ -63,7 +72,8 @@ def sentences(
     case.
     """
     spaced = _NO_SPACES.search(text) is None
-    out: list[list] = []
+    whole: list[list] = []
+    long: list[tuple[int, int, list]] = []
     for m in _SENTENCE.finditer(text):
         start, stop = m.span()
         if start == stop:
@@ -71,22 +81,33 @@ def sentences(
         body = m[1]
         n = len(body.split()) if spaced else len(_WORD.findall(body))
         if not n:
-            if out:
-                out[-1][1] = stop
+            if whole:
+                whole[-1][1] = stop
             else:
-                out.append([start, stop, 0, ""])
-            continue
-        if out and not out[-1][2]:
-            start = out.pop()[0]
-        if n <= longest:
-            out.append([start, stop, n, " ".join(m[0].lower().split())])
+                whole.append([start, stop, 0, ""])
             continue
-        found = list(_WORD.finditer(body))
-        cuts = _cuts([w[0] for w in found], window, shingle)
-        at = [start, *(m.start() + found[k].start() for k in cuts), stop]
+        own = start
+        if whole and not whole[-1][2]:
+            start = whole.pop()[0]
+        if n > longest:
+            long.append((len(whole), own, [(w.start() + own, w[0]) for w in _WORD.finditer(body)]))
+            whole.append([start, stop, n, None])
+        else:
+            whole.append([start, stop, n, " ".join(m[0].lower().split())])
+    if not long:
+        return [tuple(part) for part in whole]
+    words = [w.lower() for *_, found in long for _, w in found]
+    cuts = _cuts(words, [len(found) for *_, found in long], window, shingle)
+    out, after = [], 0
+    for (place, own, found), numbers in zip(long, cuts):
+        out += whole[after:place]
+        start, stop, n, _ = whole[place]
+        at = [start, *(found[k][0] for k in numbers), stop]
+        edges = [0, *numbers, n]
         for k, (lo, hi) in enumerate(zip(at, at[1:])):
-            size = ([*cuts, n][k]) - ([0, *cuts][k])
-            out.append([lo, hi, size, " ".join(text[max(lo, m.start()) : hi].lower().split())])
+            out.append((lo, hi, edges[k + 1] - edges[k], " ".join(text[max(lo, own) : hi].lower().split())))
+        after = place + 1
+    out += whole[after:]
     return [tuple(part) for part in out]
 
 
@@ -97,7 +118,8 @@ def spans(
     ``least`` sentences or more with ``words`` words or more, where there is one.
 
     The run depends on what follows its start alone, so a passage gives the same runs
-    wherever it stands. Each sentence is hashed once, a run as the hashes of its
+    wherever it stands. What is left at the end of a text gives one more, the last run
+    and all after it, so that copies go whole. Each sentence is hashed once, a run as the hashes of its
     sentences; both have 128 bits.
     """
     hashes = [xxh3_128_digest(p[3].encode("utf-8", "surrogatepass")) for p in parts]
@@ -107,6 +129,8 @@ def spans(
             total += parts[past][2]
             past += 1
         if total < words or past - first < least:
+            if out and out[-1][1] < parts[-1][1]:
+                out.append((out[-1][0], parts[-1][1], xxh3_128_digest(b"".join(hashes[first - 1 :]))))
             break
         out.append((parts[first][0], parts[past - 1][1], xxh3_128_digest(b"".join(hashes[first:past]))))
         total -= parts[first][2]
