@@ -6,6 +6,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -148,31 +149,35 @@ def encode(rows: DataFrame, words: Words, shape: Shape) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = held.value
         counts, units, width, own = w.counts, w.units, shape.width, shape.own_units
-        base = {t: w.base(c) for t, c in counts.items()}
-        inner = {t: _inside(w, crc32(t) % width, c) for t, c in counts.items() if t not in units}
+        # All that is known of a head word, by its place; one lookup for each token finds it.
+        place = {t: k for k, t in enumerate(counts)}
+        head_hash = np.fromiter(map(crc32, counts), np.uint32, len(counts))
+        head_unit = np.fromiter((units.get(t, own + crc32(t) % width) for t in counts), np.uint16, len(counts))
+        base = np.array([w.base(c) for c in counts.values()])
+        inner = np.array([0.0 if t in units else _inside(w, crc32(t) % width, c) for t, c in counts.items()])
         for batch in _slices(batches):
             out: list[list] = [[] for _ in range(6)]
             rest_tokens, rest_counts, rest_ends = [], [], [0]
             for value in batch.column(3).cast(pa.binary()):
                 tokens = tokens_of(value.as_py())
-                hashes = np.fromiter(map(crc32, tokens), np.uint32, len(tokens))
-                found = np.fromiter((units.get(t, -1) for t in tokens), np.int32, len(tokens))
-                unit = np.where(found >= 0, found, own + (hashes % width).astype(np.int32))
-                known, alone, within = 0, 0.0, 0.0
-                for token, n in Counter(tokens).items():
-                    if token in base:
-                        known += n
-                        alone += n * base[token]
-                        within += n * inner.get(token, 0.0)
-                    else:
-                        rest_tokens.append(token)
-                        rest_counts.append(n)
+                at = np.fromiter(map(place.get, tokens, repeat(-1)), np.int64, len(tokens))
+                on = at >= 0
+                known, off = at[on], np.flatnonzero(~on).tolist()
+                hashes, unit = np.empty(len(at), np.uint32), np.empty(len(at), np.uint16)
+                hashes[on], unit[on] = head_hash[known], head_unit[known]
+                if off:
+                    rare = [tokens[k] for k in off]
+                    hashes[off] = np.fromiter(map(crc32, rare), np.uint32, len(rare))
+                    unit[off] = own + hashes[off] % width
+                    each = Counter(rare)
+                    rest_tokens.extend(each)
+                    rest_counts.extend(each.values())
                 rest_ends.append(len(rest_tokens))
                 cells = (
                     len(tokens),
-                    known,
-                    alone,
-                    within,
+                    len(known),
+                    float(base[known].sum()),
+                    float(inner[known].sum()),
                     unit.astype("<u2").tobytes(),
                     (hashes & 0xFFFF).astype("<u2").tobytes(),
                 )
@@ -234,12 +239,14 @@ class Model:
 
     def chances(self, feats: list[np.ndarray], inner: np.ndarray, units: np.ndarray) -> tuple[np.ndarray, ...]:
         """Class and member probabilities, and the rows of member weights."""
-        by_class = self.class_bias + self.classes[feats[0]]
+        by_class = np.take(self.classes, feats[0], axis=0)
         for f in feats[1:]:
-            by_class += self.classes[f]
+            by_class += np.take(self.classes, f, axis=0)
+        by_class += self.class_bias
         own = units // self.shape.width
         rows = own.astype(np.uint32) * np.uint32(self.shape.member_features) + inner
-        by_member = self.member_bias[own] + self.members[rows]
+        by_member = np.take(self.members, rows, axis=0)
+        by_member += np.take(self.member_bias, own, axis=0)
         return _softmax(by_class), _softmax(by_member), rows
 
     def log10(self, feats: list[np.ndarray], inner: np.ndarray, units: np.ndarray) -> np.ndarray:
@@ -250,9 +257,15 @@ class Model:
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
-    scores -= scores.max(axis=1, keepdims=True)
+    """Chances of each row; halves and products are much faster here than numpy's sums and
+    maxima along short rows."""
+    most = scores
+    while most.shape[1] > 1:
+        half = (most.shape[1] + 1) // 2
+        most = np.maximum(most[:, :half], most[:, -half:])
+    scores -= most
     np.exp(scores, out=scores)
-    scores /= scores.sum(axis=1, keepdims=True)
+    scores /= (scores @ np.ones(scores.shape[1], scores.dtype))[:, None]
     return scores
 
 
@@ -284,11 +297,12 @@ class _Learner:
         self._step(1, model.members, rows, members)
 
     def _step(self, layer: int, weights: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
-        order = np.argsort(rows, kind="stable")
+        # Numbers of two bytes are sorted by their digits.
+        order = np.argsort(rows.astype(np.uint16) if len(weights) <= 1 << 16 else rows, kind="stable")
         ordered = rows[order]
         first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         which = ordered[first]
-        total = np.add.reduceat(slope[order], first, axis=0)
+        total = np.add.reduceat(np.take(slope, order, axis=0), first, axis=0)
         self.seen[layer][which] += np.diff(np.append(first, len(rows)))
         self.power[layer][which] += np.square(total).mean(axis=1)
         weights[which] -= self.model.shape.rate * total / np.sqrt(self.power[layer][which])[:, None]
