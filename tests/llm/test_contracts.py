@@ -343,9 +343,10 @@ def test_the_ratio_tells_urls_apart(spark):
     rows = [(k, f"http://good.org/news/article-{k}") for k in range(200)]
     rows += [(1000 + k, f"http://bad.org/casino-bets-{k}") for k in range(200)]
     rows += [(5000, "http://else.net/casino-bets-9"), (5001, "http://else.net/news/article-9")]
+    rows += [(5002, "http://else.net/?to=casino-bets-casino-bets-7"), (5003, "http://else.net/#news/article-news/article-7")]
     pages = spark.createDataFrame(rows, "page_id long, url string")
     judged = {r.row.page_id: r.verdict for r in url_filter.filter_urls(pages, rules).where("rule is null").collect()}
-    assert judged == {5000: "block", 5001: "allow"}
+    assert judged == {5000: "block", 5001: "allow", 5002: "block", 5003: "allow"}
 
 
 def test_random_strings_are_told_from_identifiers(make_docs):

@@ -138,12 +138,13 @@ WITH u AS (
 ),
 split AS (
   SELECT rid, page_id, {_lower("regexp_extract(rest, '^[^/?#]*')")} AS host,
-         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         substr(rest, length(regexp_extract(rest, '^[^?#]*')) + 1) AS tail FROM u
 ),
 ruled AS (SELECT *, {_RULE} AS rule FROM split),
 judged AS (
   SELECT *, {_ALLOWED} AS allowed,
-         list_transform(list_filter(string_split(translate({_lower("host || path")}, '123456789', '000000000'), ''),
+         list_transform(list_filter(string_split(translate({_lower("host || path || tail")}, '123456789', '000000000'), ''),
                                     lambda x: x <> ''), lambda x: {_CODE}) AS c
   FROM ruled
 ),

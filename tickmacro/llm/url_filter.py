@@ -45,6 +45,11 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(_after_scheme(url), "^[^/?#]*([^?#]*)", 1)
 
 
+def tail_of(url: Column) -> Column:
+    """Query and fragment: what follows host and path."""
+    return F.regexp_extract(_after_scheme(url), r"(?s)^[^?#]*(.*)$", 1)
+
+
 def _after_scheme(url: Column) -> Column:
     url = F.coalesce(url, F.lit(""))
     at = F.instr(url, "://")
@@ -52,10 +57,10 @@ def _after_scheme(url: Column) -> Column:
 
 
 def apply_rules(pages: DataFrame, rules: list[Rule], url: str = "url", keep: list[str] | None = None) -> DataFrame:
-    """``pages`` as (row, host, path, rule, allowed): the longest rule that fits wins,
+    """``pages`` as (row, host, path, tail, rule, allowed): the longest rule that fits wins,
     both null where none does. Rules are settings, so they are part of the plan."""
     rows = packed(pages, keep or pages.columns, url=pages[f"`{url}`"].cast("string"))
-    rows = rows.select("row", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    rows = rows.select("row", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), tail_of(F.col("url")).alias("tail"))
     rule, allowed = F.lit(None).cast("string"), F.lit(None).cast("boolean")
     for r in sorted(rules, key=lambda r: len(r.name)):
         fits = r.fits(F.col("host"), F.col("path"))
@@ -63,9 +68,9 @@ def apply_rules(pages: DataFrame, rules: list[Rule], url: str = "url", keep: lis
     return rows.select("*", rule.alias("rule"), allowed.alias("allowed"))
 
 
-def _grams(host: Column, path: Column) -> Column:
+def _grams(*parts: Column) -> Column:
     """Codes of all runs of three characters, two edges before and one after the URL."""
-    text = F.translate(lower_ascii(F.concat(host, path)), "123456789", "000000000")
+    text = F.translate(lower_ascii(F.concat(*parts)), "123456789", "000000000")
     chars = F.filter(F.split(text, ""), lambda c: c != "")
     code = lambda c: let(F.instr(F.lit(ALPHABET), c), lambda i: F.when(i > 0, i).otherwise(CODES - 1))
     edge = F.lit(0)
@@ -156,12 +161,13 @@ def filter_urls(
 ) -> DataFrame:
     """(row, host, path, rule, verdict) for every page.
 
+    Rules look at host and path; the models at these and at query and fragment as well.
     Pages with a rule have its verdict and are the labels: all but one fold, by hash
     of host and path, train the models, the last sets the cut. Without labels of both
     kinds, or without a cut, the other pages are allowed. Null URLs are judged as empty.
     """
     judged = apply_rules(pages, rules, url, keep)
-    judged = staged(judged.withColumn("grams", _grams(F.col("host"), F.col("path"))), "urls")
+    judged = staged(judged.withColumn("grams", _grams(F.col("host"), F.col("path"), F.col("tail"))), "urls")
     labelled = judged.where("allowed is not null")
     digest = F.md5(F.concat("host", "path").cast("binary"))
     fold = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") % folds
