@@ -25,7 +25,7 @@ from tickmacro.schemas import (
 )
 from tickmacro.sources import tables
 from tickmacro.sources.events import route_dead_letters
-from tickmacro.streaming import enrichment, jobs
+from tickmacro.streaming import enrichment, jobs, merging
 
 ONCE = {"availableNow": True}
 DAY = 86_400_000
@@ -214,3 +214,32 @@ def test_enriched_days_are_pruned(spark, tmp_path):
     assert enrichment.compact_enriched(spark, root) == 1
     assert {r.versions for r in enrichment.emissions(spark, root).collect()} == {2}
     assert enrichment.read_enriched(spark, root).count() == 3
+
+
+def test_many_files_become_few_and_readers_see_one_table(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), _rows(spark, 0).schema
+    read = lambda: sorted(r.id for r in merging.read_folders(spark, path, schema, "dt").select("id").collect())
+    no_grace, first_day, total = timedelta(0), "2024-01-01", 0
+    for n in range(4):
+        for k in range(3):
+            files.publish_batch(_rows(spark, 6, 6 * (3 * n + k)), path, "s", 3 * n + k, ["dt"])
+            total += 6
+        before = merging.read_folders(spark, path, schema, "dt")
+        assert merging.merge_folders(spark, path, schema, "dt", least=3) == [first_day, "2024-01-02", "2024-01-03"]
+        # A round that broke off has no record.
+        (tmp_path / "t" / "_merged" / first_day / f"{n + 5:010d}" / "rows").mkdir(parents=True)
+        assert before.count() == total and read() == list(range(total))
+        assert set(merging.live_files(spark, path, "dt").values()) == {1}
+        assert merging.merge_folders(spark, path, schema, "dt", least=3) == []
+    some = merging.read_folders(spark, path, schema, "dt", [first_day, "2030-01-01"])
+    assert {str(r.dt) for r in some.collect()} == {first_day} and some.count() == total // 3
+    # After the grace what was replaced is gone, and rows are what they were.
+    merging.merge_folders(spark, path, schema, "dt", least=3, grace=no_grace)
+    assert _data_files(tmp_path / "t") == [] and read() == list(range(total))
+    files.publish_batch(_rows(spark, 3, total), path, "s", 99, ["dt"])
+    assert read() == list(range(total + 3))
+    assert merging.merge_folders(spark, path, schema, "dt", least=1, before="2024-01-02", grace=no_grace) == [first_day]
+    assert read() == list(range(total + 3))
+    # Expiry takes merged days along.
+    retention.expire_folder(spark, path, 1, date(2024, 1, 3), grace=no_grace)
+    assert files.children(spark, f"{path}/_merged") == ["2024-01-02", "2024-01-03"]

@@ -295,6 +295,7 @@ ORACLES["enriched_proc_time"] = ORACLES["enriched_market_macro_1m"]
 ORACLES["external_stream_scan"] = ORACLES["silver_market_bar_1m"]
 ORACLES["external_release_scan"] = ORACLES["silver_macro_release"]
 ORACLES["restart_stream"] = ORACLES["market_bar_1m"]
+ORACLES["segments_merged"] = ORACLES["serving_bar_minute"].replace("(window_start)", "(window_start, hour)")
 ORACLES["retention_drop"] = f"""
 {_with(_TICKS, _RELEASES, _bars(), _STATE)},
 events_of AS (

@@ -24,6 +24,7 @@ from tickmacro.schemas import (
     RELEASE_DEAD_TOPIC,
     RELEASE_EVENT,
     RELEASE_TOPIC,
+    SERVING_BAR,
     SILVER_BAR,
     SILVER_RELEASE,
     STATE_TOPIC,
@@ -36,7 +37,7 @@ from tickmacro.session import new_dir
 from tickmacro.sources import events as event_sources
 from tickmacro.sources import responses
 from tickmacro.sources import tables as table_sources
-from tickmacro.streaming import enrichment, jobs
+from tickmacro.streaming import enrichment, jobs, merging
 
 Query = Callable[[SparkSession, str], DataFrame]
 ONCE = {"availableNow": True}
@@ -665,6 +666,33 @@ def serving_bar_minute_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.as_ntz(serving.read_serving(spark, f"{root}/serving"))
 
 
+def segments_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Serving rows that a stream appends in many micro-batches, merged by hour after each
+    half; a reader that listed the files before a swap must see what it saw."""
+    root, events = new_dir(spark, "segments"), _events(spark, sf_dir)
+    part, half, path = t.part_in_time(events, t.PARTS), t.PARTS // 2, f"{root}/serving"
+    for which in (range(half), range(half, t.PARTS)):
+        t.write_parts(events, f"{root}/parts", part, list(which))
+        if t.PARTS - 1 in which:
+            t.write_closing(events, f"{root}/parts")
+        ticks = _as_ticks(t.follow(events, f"{root}/parts"))
+        jobs.start_bars(ticks, f"{root}/bars", f"{root}/run/bars", trigger=ONCE).awaitTermination()
+        # Hours of ten days in one segment, so that several batches meet in it.
+        rows = table_sources.read_bars(spark, f"{root}/bars", streaming=True, max_files=4)
+        segment = F.concat(F.date_format("time", "yyyy-MM-dd").substr(1, 9), F.date_format("time", "-HH"))
+        served = serving.serving_bars(rows).withColumn("hour", segment)
+        jobs.start_append(
+            served, path, f"{root}/run/serving", partition_by=["hour"], trigger=ONCE
+        ).awaitTermination()
+        before = serving.read_serving(spark, path)
+        merging.merge_folders(spark, path, SERVING_BAR, "hour", least=2)
+        if before.count() != serving.read_serving(spark, path).count():
+            raise AssertionError("a reader of the files before the swap lost or doubled rows")
+    if max(merging.live_files(spark, path, "hour").values()) > 2:
+        raise AssertionError("a merged folder has more files than it should")
+    return t.as_ntz(serving.read_serving(spark, path).drop("hour"))
+
+
 def dead_letter_split_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_dir(spark, "routed")
     jobs.start_routed(
@@ -733,5 +761,6 @@ QUERIES: dict[str, Query] = {
         retention_drop,
         late_tick_stream,
         restart_stream,
+        segments_merged,
     )
 }

@@ -21,7 +21,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGING, DONE = "_staging", "_done"
+STAGING, DONE, MERGED = "_staging", "_done", "_merged"
 
 
 def file_system(spark: SparkSession, folder: str):

@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickmacro.files import STAGING, delete, file_system, touch
+from tickmacro.files import MERGED, STAGING, children, delete, file_system, touch
 from tickmacro.functions.times import as_of_column
 from tickmacro.schemas import RETENTION_DAYS
 
@@ -113,6 +113,9 @@ def expire_folder(
             if len(day) == 10 and day < ripe and not inside.startswith(STAGING):
                 files.delete(folder, True)
                 gone.append(inside)
+    for day in children(spark, f"{path}/{MERGED}"):
+        if len(day) == 10 and day < ripe:
+            delete(spark, f"{path}/{MERGED}/{day}")
     for day in marks:
         if day < ripe:
             delete(spark, f"{path}/{_EXPIRED}/{_MARK}{day}")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickmacro.functions.times import as_of_column
 from tickmacro.schemas import SERVING_BAR
+from tickmacro.streaming.merging import read_folders
 
 LATE_AFTER = "2 hours"
 METRICS = ["close_price_sum", "volume_proxy_sum", "tick_count_sum"]
@@ -48,5 +49,6 @@ def with_segment(rows: DataFrame) -> DataFrame:
 
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
-    """Stored serving rows; a filter on ``hour`` prunes folders."""
-    return spark.read.schema(SERVING_BAR).parquet(path)
+    """Stored serving rows; a filter on ``hour`` prunes folders, as long as they are not
+    merged; ``merging.read_folders`` reads the merged files of given hours alone."""
+    return read_folders(spark, path, SERVING_BAR, "hour")

@@ -7,6 +7,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from tickmacro.operators.retention import live
 from tickmacro.schemas import BAR, SILVER_BAR, SILVER_RELEASE
+from tickmacro.streaming.merging import read_folders
 
 #: What dated folders are named by.
 DAY = "dt"
@@ -34,13 +35,14 @@ def _read(
     streaming: bool = False,
     max_files: int | None = None,
 ) -> DataFrame:
-    reader = spark.readStream if streaming else spark.read
-    if streaming and max_files is not None:
+    reader = spark.readStream
+    if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stored = schema if DAY in schema.fieldNames() else StructType([*schema.fields, StructField(DAY, DateType())])
-    rows = reader.schema(stored).parquet(path)
-    if not streaming:
-        rows = live(spark, rows, path)
+    if streaming:
+        rows = reader.schema(stored).parquet(path)
+    else:
+        rows = live(spark, read_folders(spark, path, stored, DAY), path)
     # A partition column comes last from the scan; the declared order is restored.
     return rows.select(*schema.fieldNames())
 
