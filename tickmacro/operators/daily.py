@@ -31,7 +31,9 @@ def release_days(releases: DataFrame, series_id: str = DEFAULT_SERIES) -> DataFr
 
     Among releases at the same instant the newest observation wins, then the greater
     value. Instant and observation date are packed into one number, so both steps
-    are hash aggregates over columns of fixed width and nothing is sorted.
+    are hash aggregates over columns of fixed width and nothing is sorted. The number
+    tells observation dates from 1611 to 2328 apart; those before, and those after, tie
+    and leave the decision to the value.
     """
     day = F.to_date("release_ts_utc")
     date = F.coalesce(F.unix_date("observation_date") + _DATES // 2, F.lit(0))

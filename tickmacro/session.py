@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -39,12 +41,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir``, else one in the warehouse.
 
-    Both are shared by the cluster; no folder of one machine is ever used.
+    The cluster names the first, so it is taken as it is. A warehouse on the disk of one
+    machine, Spark's default, will do for a local master only; elsewhere it is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
-    return base.rstrip("/")
+    if base:
+        return base.rstrip("/")
+    base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    one_machine = urlparse(base).scheme in ("", "file")
+    if one_machine and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors see; {base} is on one machine")
+    return base + "/_work"
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
