@@ -52,7 +52,7 @@ _SIDE_WORDS = _names(
     "comment comments consent cookie cookies copyright discussion disqus foot footer gdpr login masthead menu menubar modal nav "
     "navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion promotions "
     "reactions recommendations recommended related replies reply respond search share sharing sidebar signup skip social "
-    "sponsor sponsored sponsors subscribe subscription toolbar topbar widget widgets"
+    "sponsor sponsored sponsors subscribe subscription toolbar topbar"
 )
 _HEADER_WORDS = _names("header head top")
 _ARTICLE_SIDE_WORDS = _names("ad ads advert advertisement comment comments promo promoted related reply sponsored teaser")
