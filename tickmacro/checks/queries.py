@@ -667,7 +667,7 @@ def serving_bar_minute_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segments_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Serving rows that a stream appends in many micro-batches, merged by hour after each
+    """Serving rows that a stream appends in many micro-batches, merged by segment after each
     half; a reader that listed the files before a swap must see what it saw."""
     root, events = new_dir(spark, "segments"), _events(spark, sf_dir)
     part, half, path = t.part_in_time(events, t.PARTS), t.PARTS // 2, f"{root}/serving"
@@ -677,9 +677,9 @@ def segments_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
             t.write_closing(events, f"{root}/parts")
         ticks = _as_ticks(t.follow(events, f"{root}/parts"))
         jobs.start_bars(ticks, f"{root}/bars", f"{root}/run/bars", trigger=ONCE).awaitTermination()
-        # Hours of ten days in one segment, so that several batches meet in it.
+        # Ten days share a segment, so that several batches meet in it.
         rows = table_sources.read_bars(spark, f"{root}/bars", streaming=True, max_files=4)
-        segment = F.concat(F.date_format("time", "yyyy-MM-dd").substr(1, 9), F.date_format("time", "-HH"))
+        segment = F.date_format("time", "yyyy-MM-dd").substr(1, 9)
         served = serving.serving_bars(rows).withColumn("hour", segment)
         jobs.start_append(
             served, path, f"{root}/run/serving", partition_by=["hour"], trigger=ONCE
