@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickmacro.files import delete
 from tickmacro.session import new_dir
 
 #: What separates words in most contracts.
@@ -22,10 +24,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_dir(spark, name)
+    if _scratch:
+        _scratch[-1].append((name, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_scratch: list[list[tuple[str, str]]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession, keep: tuple[str, ...]) -> Iterator[None]:
+    """Delete what is staged inside, but for the names in ``keep``, at the end: for tables
+    that nothing reads once those are written."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for name, path in _scratch.pop():
+            if name not in keep:
+                delete(spark, path)
+
+
 def packed(docs: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
     """The columns ``keep`` as one column ``row``, so that no name can clash."""
     row = F.struct(*[docs[f"`{name}`"] for name in keep]).alias("row")
