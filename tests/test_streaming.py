@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.builders import Drop, bars, encode, releases, tick_rows, tick_stream, ticks
 from tests.conftest import ms, utc
+from tickmacro import files
 from tickmacro.operators.bars import build_bars
 from tickmacro.operators.enrich import enrich
 from tickmacro.operators.serving import read_serving
@@ -310,3 +311,37 @@ def test_resent_ticks_can_be_dropped_from_a_stream(spark, tmp_path):
         once.select("entity_key", "event_ts_ms"), f"{tmp_path}/out", f"{tmp_path}/run", trigger=ONCE
     ).awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == len(rows) + 1
+
+
+DAY_MS = 86_400_000
+
+
+def _bars_of_days(spark, tmp_path, days):
+    """Bars of so many days, all in one micro-batch that closes them."""
+    drop = Drop(tmp_path / "in")
+    rows = [("ABCDEFGH"[i % 8], float(i), 1, i % days * DAY_MS + i * 60_000) for i in range(days * 40)]
+    _drop_ticks(spark, drop, [*rows, ("Z", 1.0, 1, (days + 2) * DAY_MS)])
+    _run_bars(spark, drop, tmp_path)
+    return rows
+
+
+def test_a_batch_of_closed_bars_has_one_file_for_each_day(spark, tmp_path):
+    rows = _bars_of_days(spark, tmp_path, 3)
+    found = [name.split("/")[0] for name in files.data_files(spark, f"{tmp_path}/bars")]
+    assert sorted(found) == ["dt=1970-01-01", "dt=1970-01-02", "dt=1970-01-03"]
+    _same(tables.read_bars(spark, f"{tmp_path}/bars"), build_bars(ticks(spark, *rows)))
+
+
+def test_a_stream_gets_its_session_back_as_it_was(spark, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    drop, seen = Drop(tmp_path / "in"), []
+    _drop_ticks(spark, drop, [("A", 1.0, 1, 0)], [("A", 1.0, 1, DAY_MS)])
+
+    def write(batch, batch_id):
+        batch.collect()
+        seen.append(batch.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+
+    stream = build_bars(tick_stream(spark, drop))
+    jobs.start_foreach(stream, write, f"{tmp_path}/run", trigger=ONCE).awaitTermination()
+    assert len(seen) >= 2 and set(seen) == {"true"}
+    assert spark.conf.get("spark.sql.adaptive.enabled") == before

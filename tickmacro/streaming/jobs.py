@@ -267,11 +267,27 @@ def start_foreach(
     output_mode: str = "append",
     trigger: dict | None = None,
 ) -> StreamingQuery:
+    """Run ``write`` on each micro-batch.
+
+    Spark turns adaptive execution off in the session of a stateful stream, and the
+    rebalance hint is ignored without it: every task would write a file to every folder.
+    What happens to a batch that is there is a plain query, so it gets it back.
+    """
+
+    def adaptive(batch: DataFrame, batch_id: int) -> None:
+        conf, name = batch.sparkSession.conf, "spark.sql.adaptive.enabled"
+        before = conf.get(name)
+        conf.set(name, "true")
+        try:
+            write(batch, batch_id)
+        finally:
+            conf.set(name, before)
+
     return (
         df.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or COMMIT_INTERVAL))
-        .foreachBatch(write)
+        .foreachBatch(adaptive)
         .start()
     )
 
