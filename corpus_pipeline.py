@@ -23,7 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, that of the smallest id.
 
-    Near copies have four fifths or more of all their five-word shingles in common.
+    Near copies are linked by SimHash, as op9 does, or have four fifths or more of all their
+    five-word shingles in common, which most such pairs show in no two bits.
     """
     return near_copies.drop_near_copies(docs)
 

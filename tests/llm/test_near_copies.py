@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute
-from tickmacro.llm import near_copies
+from tickmacro.llm import near_copies, simhash
 from tickmacro.llm.common import held
 
 
@@ -113,3 +113,39 @@ def test_the_order_of_shingles_decides_on_work_alone():
         assert int(np.bitwise_count(maps).sum()) <= differ
         fine = (near_copies.parity(a, 32) ^ near_copies.parity(b, 32)).view(np.uint64)
         assert int(np.bitwise_count(fine).sum()) <= differ
+
+
+def test_the_stage_links_what_simhash_links(spark, make_docs, sf_dir):
+    """Texts whose fingerprints differ in two bits at most, with fewer shingles in common."""
+    base = [f"w{k}" for k in range(60)]
+    rng, found = random.Random(2), None
+    of = lambda w: simhash.simhash(" ".join(w).encode()) & (2**64 - 1)
+    for _ in range(4000):
+        words = list(base)
+        for at in (10, 30, 50):
+            words[at] = f"new{rng.randrange(10**6)}"
+        if (of(words) ^ of(base)).bit_count() <= 2:
+            found = words
+            break
+    rows = [(1, " ".join(base)), (2, " ".join(found)), (3, " ".join(f"z{k}" for k in range(60)))]
+    assert one_of_each_group(rows) == [1, 2, 3]
+    assert _ids(corpus_pipeline.near_dedup(spark, make_docs(rows), sf_dir)) == [1, 3]
+
+
+def test_shingles_are_staged_for_likely_pairs_alone(spark, make_docs, monkeypatch):
+    """Texts that share a fifth and no more meet, but their sets are not written."""
+    rng = random.Random(7)
+    shared = " ".join(f"s{k}" for k in range(60))
+    rows = [(k, shared + " " + " ".join(f"o{k}x{rng.randrange(10**6)}" for _ in range(80))) for k in range(12)]
+    rows += [(20, "a b c d e f g h i j k l m n o p q r s t u v w x y"), (21, "a b c d e f g h i j k l m n o p q r s t u v w x z")]
+    written, staged = {"pair_sets": 0, "maps": 0}, near_copies.staged
+
+    def counting(df, name):
+        out = staged(df, name)
+        if name in written:
+            written[name] += out.count()
+        return out
+
+    monkeypatch.setattr(near_copies, "staged", counting)
+    assert _ids(near_copies.drop_near_copies(make_docs(rows))) == one_of_each_group(rows)
+    assert written["pair_sets"] <= 4

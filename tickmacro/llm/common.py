@@ -36,7 +36,7 @@ _scratch: list[list[tuple[str, str]]] = []
 @contextmanager
 def scratch(spark: SparkSession, keep: tuple[str, ...]) -> Iterator[None]:
     """Delete what is staged inside, but for the names in ``keep``, at the end: for tables
-    that nothing reads once those are written."""
+    that nothing reads once those are written. What is kept goes with the block around."""
     _scratch.append([])
     try:
         yield
@@ -44,6 +44,8 @@ def scratch(spark: SparkSession, keep: tuple[str, ...]) -> Iterator[None]:
         for name, path in _scratch.pop():
             if name not in keep:
                 delete(spark, path)
+            elif _scratch:
+                _scratch[-1].append((name, path))
 
 
 def packed(docs: DataFrame, keep: list[str], **columns: Column) -> DataFrame:

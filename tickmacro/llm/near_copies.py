@@ -1,4 +1,5 @@
-"""Near copies by exact Jaccard similarity of word shingles: a prefix join, no sketch decides.
+"""Near copies: op9's SimHash links, and by exact Jaccard similarity of word shingles what
+SimHash does not reach, by a prefix join; no sketch rules a pair out.
 
 Two sets with a similarity of ``SIMILARITY`` or more share one of the first
 ``n - ceil(SIMILARITY * n) + 1`` shingles of each in any order that all sets follow. The
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from tickmacro.llm import simhash
 from tickmacro.llm.common import held, packed, scratch, staged
 from tickmacro.llm.components import components
 
@@ -75,17 +77,27 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
 
 
 def _sets(rows: DataFrame, shingle: int) -> DataFrame:
-    """(rid, text) to (rid, hashes, n, map): shingles, their number and the fine parity map."""
+    """(rid, text) to (rid, hashes): the shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
-            found = [shingles(t.as_py(), shingle) for t in texts]
+            found = [shingles(t.as_py(), shingle) for t in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(found)], ["rid", "hashes"])
+
+    return rows.mapInArrow(run, "rid long, hashes array<long>")
+
+
+def _maps(rows: DataFrame, shingle: int) -> DataFrame:
+    """(rid, text) to (rid, n, map): the number of shingles and their fine parity map."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(t.as_py(), shingle) for t in batch.column(1).cast(pa.binary())]
             sizes = pa.array([len(s) for s in found], pa.int64())
             maps = _lists([fine_parity(s) for s in found])
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(found), sizes, maps], ["rid", "hashes", "n", "map"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, maps], ["rid", "n", "map"])
 
-    return rows.mapInArrow(run, "rid long, hashes array<long>, n long, map array<long>")
+    return rows.mapInArrow(run, "rid long, n long, map array<long>")
 
 
 def common_shingles(rows: DataFrame, shingle: int = 5, every: int = 8, least: int = 8, most: int = 1 << 16) -> np.ndarray:
@@ -148,29 +160,47 @@ def verified(pairs: DataFrame, rows: DataFrame, shingle: int = 5) -> DataFrame:
     """The ``pairs`` (a, b) of similar sets, by the shingles of their texts.
 
     Texts without a pair are left out where they are read, so no text is shuffled. Fine
-    parity maps, far smaller than the sets, rule out most pairs first.
+    parity maps, far smaller than the sets, rule out most pairs first, and only the texts
+    of the others are read once more for their shingles.
     """
+    with scratch(rows.sparkSession, keep=("similar",)):
+        about = staged(_maps(_of(pairs, rows), shingle), "maps").select("rid", F.struct("n", "map").alias("x"))
+        pairs = pairs.join(about.select(F.col("rid").alias("b"), F.col("x").alias("y")), "b")
+        pairs = pairs.join(about.withColumnRenamed("rid", "a"), "a").where(_may("x", "y", _fine))
+        pairs = staged(pairs.select("a", "b"), "likely")
+        sets = staged(_sets(_of(pairs, rows), shingle), "pair_sets")
+        one = sets.select(F.col("rid").alias("a"), F.col("hashes").alias("left"))
+        two = sets.select(F.col("rid").alias("b"), F.col("hashes").alias("right"))
+        both = F.size(F.array_intersect("left", "right"))
+        similar = (WHOLE + SHARE) * both >= SHARE * (F.size("left") + F.size("right"))
+        # A leader has many pairs; the other side is met first, so that the pairs of one leader can be split.
+        return staged(pairs.join(two, "b").join(one, "a").where(similar).select("a", "b"), "similar")
+
+
+def _of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The ``rows`` that are in ``pairs``, and few others."""
     paired = held(pairs.select(F.explode(F.array("a", "b")).alias("rid")))
-    sets = staged(_sets(rows.where(paired(F.col("rid"))), shingle), "pair_sets")
-    about = sets.select("rid", F.struct("n", "map").alias("x"))
-    pairs = pairs.join(about.select(F.col("rid").alias("b"), F.col("x").alias("y")), "b")
-    pairs = pairs.join(about.withColumnRenamed("rid", "a"), "a").where(_may("x", "y", _fine))
-    pairs = staged(pairs.select("a", "b"), "likely")
-    one = sets.select(F.col("rid").alias("a"), F.col("hashes").alias("left"))
-    two = sets.select(F.col("rid").alias("b"), F.col("hashes").alias("right"))
-    both = F.size(F.array_intersect("left", "right"))
-    similar = (WHOLE + SHARE) * both >= SHARE * (F.size("left") + F.size("right"))
-    # A leader has many pairs; the other side is met first, so that the pairs of one leader can be split.
-    return staged(pairs.join(two, "b").join(one, "a").where(similar).select("a", "b"), "similar")
+    return rows.where(paired(F.col("rid")))
+
+
+def fingerprint_links(texts: DataFrame, marked: DataFrame, copies: DataFrame) -> DataFrame:
+    """Links (a, b) of the ``copies`` that SimHash, as op9 runs it, has in one group: from
+    the smallest of each group to the others."""
+    found = simhash.fingerprints(texts, keep=["rid"])
+    found = found.select("row.rid", "fp").join(simhash.groups(found), "fp").select("rid", "root")
+    reps = marked.select("rid", "h1", "h2").join(copies, ["h1", "h2"]).select("rid", "rep")
+    grouped = staged(found.join(reps, "rid").select("root", "rep").distinct(), "fingerprinted")
+    least = grouped.groupBy("root").agg(F.min("rep").alias("a"))
+    return staged(grouped.join(least, "root").where("a <> rep").select("a", F.col("rep").alias("b")), "alike")
 
 
-def links(sets: DataFrame, rows: DataFrame, shingle: int = 5) -> DataFrame:
-    """Links (a, b) whose components are those of all pairs of similar ``sets``.
+def links(sets: DataFrame, rows: DataFrame, alike: DataFrame, shingle: int = 5) -> DataFrame:
+    """Links (a, b) whose components are those of all pairs of similar ``sets`` and of ``alike``.
 
     Sets that share a key of their prefixes are candidates. Each is first compared
     with two leaders of its block, the member of the most blocks and one by chance,
     the same in all blocks of one group.
-    What these links connect needs no further comparison: a large group of near copies
+    What these links and ``alike`` connect needs no further comparison: a large group of near copies
     takes links by its number, not by its square. All other pairs of a block are
     compared afterwards, whatever the size of the block.
     """
@@ -187,7 +217,7 @@ def links(sets: DataFrame, rows: DataFrame, shingle: int = 5) -> DataFrame:
     about = sets.select("rid", F.struct("n", "map").alias("x"))
     pairs = pairs.join(about.select(F.col("rid").alias("b"), F.col("x").alias("y")), "b")
     pairs = pairs.join(about.withColumnRenamed("rid", "a"), "a").where(_may("x", "y")).select("a", "b")
-    led = verified(staged(pairs, "led"), rows, shingle)
+    led = verified(staged(pairs, "led"), rows, shingle).union(alike)
     roots = components(led)
     rest = shared.join(roots.withColumnRenamed("node", "rid"), "rid", "left")
     rest = staged(rest.select("key", "rid", F.coalesce("root", "rid").alias("root")), "rest")
@@ -201,9 +231,10 @@ def links(sets: DataFrame, rows: DataFrame, shingle: int = 5) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5) -> DataFrame:
-    """One row of each group of ``docs`` that similar pairs connect stays, that of the smallest id.
+    """One row of each group of ``docs`` that links connect stays, that of the smallest id.
 
-    Pairs are similar where four fifths or more of all their shingles are in both. Null
+    Linked are texts whose SimHash fingerprints differ in two bits or fewer, as op9 links
+    them, and those that have four fifths or more of all their shingles in common. Null
     ids come last, and of rows with one id the first read stays. Columns are kept.
     """
     rows = packed(docs, docs.columns, text=docs[f"`{text}`"].cast("string"), id=docs[f"`{doc_id}`"])
@@ -214,7 +245,8 @@ def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
         marked = marked_sets(texts, common_shingles(texts, shingle), shingle)
         copies = staged(marked.groupBy("h1", "h2").agg(F.min("rid").alias("rep")), "copies")
         sets = marked.where("n > 0").join(copies.select(F.col("rep").alias("rid")), "rid")
-        roots = staged(components(links(sets, texts, shingle)).withColumnRenamed("node", "rep"), "roots")
+        alike = fingerprint_links(texts, marked, copies)
+        roots = staged(components(links(sets, texts, alike, shingle)).withColumnRenamed("node", "rep"), "roots")
         order = F.struct(F.col("id").isNull(), F.col("id"), F.col("rid"))
         first = marked.select("rid", "h1", "h2").join(whole.select("rid", "id"), "rid")
         first = first.groupBy("h1", "h2").agg(F.min(order).alias("first")).join(copies, ["h1", "h2"])
