@@ -133,10 +133,10 @@ def test_the_stage_links_what_simhash_links(spark, make_docs, sf_dir):
 
 
 def test_shingles_are_staged_for_likely_pairs_alone(spark, make_docs, monkeypatch):
-    """Texts that share a fifth and no more meet, but their sets are not written."""
+    """Long texts that share a passage meet, but their sets are not written."""
     rng = random.Random(7)
     shared = " ".join(f"s{k}" for k in range(60))
-    rows = [(k, shared + " " + " ".join(f"o{k}x{rng.randrange(10**6)}" for _ in range(80))) for k in range(12)]
+    rows = [(k, shared + " " + " ".join(f"o{k}x{rng.randrange(10**6)}" for _ in range(1500))) for k in range(12)]
     rows += [(20, "a b c d e f g h i j k l m n o p q r s t u v w x y"), (21, "a b c d e f g h i j k l m n o p q r s t u v w x z")]
     written, staged = {"pair_sets": 0, "maps": 0}, near_copies.staged
 
