@@ -85,6 +85,36 @@ def test_the_map_of_held_numbers_loses_none(spark):
     assert spark.range(9).where(held(ids.where("false"))(F.col("id"))).isEmpty()
 
 
+def test_the_held_numbers_are_in_no_text_of_a_plan(spark):
+    """The driver keeps the texts of many plans, and a new one for each step of a query."""
+    ids = spark.range(0, 90_000, 3).withColumnRenamed("id", "rid")
+    rows = spark.range(0, 300).where(held(ids)(F.col("id")))
+    assert rows.count() >= 100
+    assert len(rows._jdf.queryExecution().toString()) < 50_000
+
+
+def test_what_is_connected_goes_on_as_stars(spark, make_docs, monkeypatch):
+    """Where the first comparisons connect a whole group, the second run of the rounds finds
+    nothing to move."""
+    words = [f"w{k}" for k in range(80)]
+    rows = [(k, " ".join(words[:k] + [f"odd{k}"] + words[k + 1 :])) for k in range(5, 75, 3)]
+    rows.append((99, " ".join(words)))
+    rounds, marks, components = [0], near_copies.components.__globals__["_mark"], near_copies.components
+
+    def counting(links):
+        rounds.append(0)
+        return components(links)
+
+    def counted(edges):
+        rounds[-1] += 1
+        return marks(edges)
+
+    monkeypatch.setitem(components.__globals__, "_mark", counted)
+    monkeypatch.setattr(near_copies, "components", counting)
+    assert _ids(near_copies.drop_near_copies(make_docs(rows))) == one_of_each_group(rows)
+    assert rounds[-1] == 2
+
+
 def test_fine_maps_of_two_sizes_differ_in_no_more_than_the_sets(spark):
     rng, rows, differ = np.random.default_rng(3), [], []
     for n in (10, 1000, 1030, 4090, 5000):

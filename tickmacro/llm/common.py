@@ -186,16 +186,16 @@ def held(ids: DataFrame, column: str = "rid") -> Callable[[Column], Column]:
 
     It is a bit for each of ``HELD`` hashes, which travels with the plan, so rows that it
     rules out are not shuffled. With more numbers it lets more others through: work, not
-    results, as an exact join follows where that matters.
+    results, as an exact join follows where that matters. The bits are a subquery's one
+    value: the driver's Python has none of them, nor does any text of a plan.
     """
     slot = lambda x: F.pmod(F.xxhash64(x), F.lit(HELD)).cast("int")
-    bits = ids.select(slot(F.col(column)).alias("s")).groupBy(F.shiftright("s", 5).alias("i")).agg(
-        F.bit_or(F.expr("shiftleft(1, s & 31)")).alias("b")
+    bits = ids.select(slot(F.col(column)).alias("s")).select(
+        F.shiftright("s", 5).alias("i"), F.expr("shiftleft(1, s & 31)").alias("b")
     )
-    words = [0] * (HELD // 32)
-    for row in bits.toLocalIterator():
-        words[row["i"]] = row["b"]
-    table = F.split(F.lit(",".join(map(str, words))), ",").cast("array<int>")
+    none = ids.sparkSession.range(HELD // 32).select(F.col("id").cast("int").alias("i"), F.lit(0).alias("b"))
+    words = bits.union(none).groupBy("i").agg(F.bit_or("b").alias("b"))
+    table = words.agg(F.sort_array(F.collect_list(F.struct("i", "b")))["b"].alias("bits")).scalar()
 
     def test(x: Column) -> Column:
         at = slot(x)

@@ -227,7 +227,9 @@ def links(sets: DataFrame, rows: DataFrame, alike: DataFrame, shingle: int = 5)
     two = rest.select("key", F.col("rid").alias("b"), F.col("root").alias("rb"), F.col("x").alias("y"))
     others = one.join(two, (one["key"] == two["key"]) & (F.col("ra") < F.col("rb")) & _may("x", "y"))
     others = staged(others.select("a", "b").distinct(), "others")
-    return led if others.isEmpty() else led.union(verified(others, rows, shingle))
+    # What is known to be connected goes on as stars, which need no second run of all rounds.
+    stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return stars if others.isEmpty() else stars.union(verified(others, rows, shingle))
 
 
 def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5) -> DataFrame:
