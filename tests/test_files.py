@@ -243,3 +243,19 @@ def test_many_files_become_few_and_readers_see_one_table(spark, tmp_path):
     # Expiry takes merged days along.
     retention.expire_folder(spark, path, 1, date(2024, 1, 3), grace=no_grace)
     assert files.children(spark, f"{path}/_merged") == ["2024-01-02", "2024-01-03"]
+
+
+def test_records_of_merging_are_read_without_a_job(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), _rows(spark, 0).schema
+    for n in range(2):
+        files.publish_batch(_rows(spark, 6, 6 * n), path, "s", n, ["dt"])
+    replaced = set(files.data_files(spark, path))
+    merged = merging.merge_folders(spark, path, schema, "dt", least=2)
+    spark.sparkContext.setJobGroup("records", "")
+    try:
+        names = {f"dt={v}/{n}" for v in merged for n in merging._replaced(spark, path, v, f"{0:010d}")}
+        assert merging.live_files(spark, path, "dt") == dict.fromkeys(merged, 1)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert names == replaced and len(merged) == 3
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("records") == []

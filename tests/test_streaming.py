@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import shutil
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.builders import Drop, bars, encode, releases, tick_rows, tick_stream, ticks
 from tests.conftest import ms, utc
 from tickmacro import files
+from tickmacro.checks import tables as checked
 from tickmacro.operators.bars import build_bars
 from tickmacro.operators.enrich import enrich
 from tickmacro.operators.serving import read_serving
@@ -345,3 +347,48 @@ def test_a_stream_gets_its_session_back_as_it_was(spark, tmp_path):
     jobs.start_foreach(stream, write, f"{tmp_path}/run", trigger=ONCE).awaitTermination()
     assert len(seen) >= 2 and set(seen) == {"true"}
     assert spark.conf.get("spark.sql.adaptive.enabled") == before
+
+
+def _state_partitions(query):
+    return {op["numShufflePartitions"] for progress in query.recentProgress for op in progress["stateOperators"]}
+
+
+def test_state_is_not_spread_over_more_partitions_than_a_stream_needs(spark, tmp_path):
+    name = "spark.sql.shuffle.partitions"
+    before, rows = spark.conf.get(name), [("AB"[i % 2], float(i % 17), i, i * 1500) for i in range(300)]
+    drop = Drop(tmp_path / "in")
+    start = lambda at, **kw: jobs.start_bars(
+        tick_stream(spark, drop), f"{tmp_path}/{at}", f"{tmp_path}/run/{at}", trigger=ONCE, **kw
+    )
+    _drop_ticks(spark, drop, rows[:150])
+    seen = {}
+    try:
+        for n in (0, 1):
+            for at, session, kw in (
+                ("bounded", 40, {}),
+                ("few", 3, {}),
+                # Its checkpoint began with the session's number and keeps it.
+                ("older", 40, {} if n else {"state_partitions": None}),
+            ):
+                spark.conf.set(name, str(session))
+                query = start(at, **kw)
+                query.awaitTermination()
+                assert spark.conf.get(name) == str(session)
+                seen.setdefault(at, set()).update(_state_partitions(query))
+            if n == 0:
+                _drop_ticks(spark, drop, rows[150:], [CLOSING])
+    finally:
+        spark.conf.set(name, before)
+    assert seen == {"bounded": {jobs.STATE_PARTITIONS}, "few": {3}, "older": {40}}
+    for at in seen:
+        _same(tables.read_bars(spark, f"{tmp_path}/{at}"), build_bars(ticks(spark, *rows)))
+
+
+def test_parts_in_time_look_for_the_ends_once(spark, tmp_path):
+    schema = checked.SCHEMAS["events"]
+    at = lambda *minutes: [(i, None if m is None else datetime(2024, 1, 1, 0, m), 1, "a", 1.0, None) for i, m in enumerate(minutes)]
+    for minutes, parts in (((0, 7, 30, 44, 59, None), [0, 0, 2, 2, 3, 3]), ((5, 5), [0, 0]), ((None,), [3]), ((), [])):
+        events = spark.createDataFrame(at(*minutes), schema)
+        marked = events.select("event_id", checked.part_in_time(events).alias("part"))
+        assert [r.part for r in marked.orderBy("event_id").collect()] == parts
+        assert "subquery" not in marked._jdf.queryExecution().toString().lower()

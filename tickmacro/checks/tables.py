@@ -266,10 +266,12 @@ def as_ntz(df: DataFrame) -> DataFrame:
 
 
 def part_in_time(events: DataFrame, parts: int = 4) -> Column:
-    """The number of the part that a row falls in, by equal spans of time."""
+    """The number of the part that a row falls in, by equal spans of time.
+
+    The two ends are found here, once for all parts that are written.
+    """
     at = _epoch_ms("ts")
-    ends = events.agg(F.min(at).alias("low"), F.max(at).alias("high"))
-    low, high = ends.select("low").scalar(), ends.select("high").scalar()
+    low, high = [F.lit(end).cast("bigint") for end in events.agg(F.min(at), F.max(at)).first()]
     return F.least(F.lit(parts - 1), F.floor((at - low) * parts / F.greatest(high - low, F.lit(1)))).cast("int")
 
 

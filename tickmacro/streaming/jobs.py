@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,8 @@ from tickmacro.schemas import BAR_TOPIC, MACRO_STATE, ROUTED_EVENT, TOPIC_KEYS
 from tickmacro.sources.tables import DAY
 
 COMMIT_INTERVAL = {"processingTime": "30 seconds"}
+#: Over how many partitions a stream's state is spread: as many as the topic of bars has.
+STATE_PARTITIONS = 24
 BATCH = "batch_id"
 # Spark does not read folders of such names with the batches beside them.
 _BASE = "_base"
@@ -34,13 +37,15 @@ def start_append(
     rebalance: bool = True,
     trigger: dict | None = None,
     options: dict[str, str] | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append rows to any sink; ``console`` prints instead of sending.
 
     A partitioned parquet folder gets plain files (see ``files``), so that catalog
     tables, other engines and retention can use it; each batch is in it once, also
     after a restart. ``rebalance`` gathers each folder into few files per micro-batch
-    and splits a large one, instead of a file per task and folder.
+    and splits a large one, instead of a file per task and folder. ``state_partitions``
+    is for streams that keep state, see ``state_over``.
     """
     if path and partition_by and fmt == "parquet":
         known: list[str] = []
@@ -50,7 +55,7 @@ def start_append(
             rows = batch.hint("rebalance", *partition_by) if rebalance else batch
             publish_batch(rows, path, known[0], batch_id, partition_by)
 
-        return start_foreach(df, write, checkpoint, trigger=trigger)
+        return start_foreach(df, write, checkpoint, trigger=trigger, state_partitions=state_partitions)
     writer = (
         df.writeStream.format(fmt)
         .outputMode("append")
@@ -60,7 +65,27 @@ def start_append(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return writer.start(path) if path else writer.start()
+    with state_over(df.sparkSession, state_partitions):
+        return writer.start(path) if path else writer.start()
+
+
+@contextmanager
+def state_over(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """A stream that starts here spreads its state over ``partitions``, or over the session's
+    shuffle partitions where these are fewer, or with None.
+
+    Every one of them is loaded and committed in every micro-batch, however few rows it
+    holds, and adaptive execution joins none of them: the number that large batch shuffles
+    want costs a stream more than its rows do. Checkpoints keep the number they began with.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if partitions is not None:
+        spark.conf.set(name, str(min(partitions, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def send_events(
@@ -84,7 +109,13 @@ def send_events(
 
 
 def start_bars(
-    ticks: DataFrame, path: str, checkpoint: str, *, interval: str = "1 minute", **sink
+    ticks: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    interval: str = "1 minute",
+    state_partitions: int | None = STATE_PARTITIONS,
+    **sink,
 ) -> StreamingQuery:
     """Closed bars of a watermarked tick stream, in a folder per day.
 
@@ -93,7 +124,9 @@ def start_bars(
     counted = ticks.observe("ticks", F.count(F.lit(1)).alias("n"))
     bars = bar_ops.build_bars(counted, interval).withColumn(DAY, F.to_date("window_start"))
     bars = bars.observe("bars", F.sum("tick_count").alias("n"))
-    return start_append(bars, path, checkpoint, partition_by=[DAY], **sink)
+    return start_append(
+        bars, path, checkpoint, partition_by=[DAY], state_partitions=state_partitions, **sink
+    )
 
 
 def tick_account(query: StreamingQuery) -> dict[str, int]:
@@ -114,9 +147,16 @@ def tick_account(query: StreamingQuery) -> dict[str, int]:
 
 
 def start_bar_events(
-    ticks: DataFrame, path: str | None, checkpoint: str, *, interval: str = "1 minute", **sink
+    ticks: DataFrame,
+    path: str | None,
+    checkpoint: str,
+    *,
+    interval: str = "1 minute",
+    state_partitions: int | None = STATE_PARTITIONS,
+    **sink,
 ) -> StreamingQuery:
     """Closed bars as keyed JSON events, for Kafka or, in a folder per topic, files."""
+    sink["state_partitions"] = state_partitions
     events = encode_rows(bar_ops.build_bars(ticks, interval), BAR_TOPIC, TOPIC_KEYS[BAR_TOPIC])
     if path is None:
         return start_append(events, path, checkpoint, **sink)
@@ -249,14 +289,21 @@ def read_batch(spark: SparkSession, path: str, schema: StructType, batch_id: int
 
 
 def start_changelog(
-    df: DataFrame, path: str, checkpoint: str, *, trigger: dict | None = None
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    trigger: dict | None = None,
+    state_partitions: int | None = STATE_PARTITIONS,
 ) -> StreamingQuery:
     """Upsert sink for a streaming aggregate: the changed keys of each batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, path, batch_id)
 
-    return start_foreach(df, write, checkpoint, output_mode="update", trigger=trigger)
+    return start_foreach(
+        df, write, checkpoint, output_mode="update", trigger=trigger, state_partitions=state_partitions
+    )
 
 
 def start_foreach(
@@ -266,6 +313,7 @@ def start_foreach(
     *,
     output_mode: str = "append",
     trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Run ``write`` on each micro-batch.
 
@@ -283,13 +331,14 @@ def start_foreach(
         finally:
             conf.set(name, before)
 
-    return (
+    writer = (
         df.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or COMMIT_INTERVAL))
         .foreachBatch(adaptive)
-        .start()
     )
+    with state_over(df.sparkSession, state_partitions):
+        return writer.start()
 
 
 def start_macro_state(

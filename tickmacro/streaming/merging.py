@@ -32,8 +32,14 @@ def _rounds(spark: SparkSession, path: str, value: str) -> list[str]:
 
 
 def _replaced(spark: SparkSession, path: str, value: str, number: str) -> set[str]:
-    lines = spark.read.text(f"{path}/{MERGED}/{value}/{number}/{_RECORD}").toLocalIterator()
-    return {r[0] for r in lines if r[0]}
+    # Opened as it was written: a Spark job for each folder and round would take longer than the names do.
+    files, record = file_system(spark, f"{path}/{MERGED}/{value}/{number}/{_RECORD}")
+    opened = files.open(record)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()
+    return {name for name in text.split("\n") if name}
 
 
 def read_folders(
